@@ -69,8 +69,8 @@ def labelled(findings: DataFrame, run_id: str) -> DataFrame:
     """Add the run and the type and label that belong to each kind."""
 
     def of(position: int) -> Column:
-        pairs = [F.lit(x) for kind, meaning in KINDS.items() for x in (kind, meaning[position])]
-        return F.create_map(*pairs)[F.col("kind")]
+        cases = " ".join(f"WHEN '{kind}' THEN '{meaning[position]}'" for kind, meaning in KINDS.items())
+        return F.expr(f"CASE kind {cases} END")
 
     return findings.select(
         F.lit(run_id).alias("run_id"),

@@ -11,14 +11,18 @@ from pyspark.sql import functions as F
 from driftmend.functions.display import cell_text
 from driftmend.functions.names import col, cols, reserve
 from driftmend.functions.sides import Sides, align
-from driftmend.functions.types import comparable
+from driftmend.functions.types import comparable, has_map
 
 # What can be said of a key.
 STATUSES = ("missing_in_given", "only_in_given", "changed", "same", "duplicate_key")
 
 
 def row_pairs(
-    target: DataFrame, given: DataFrame, keys: Sequence[str], primary_key: bool = False, values: Sequence[str] | None = None
+    target: DataFrame,
+    given: DataFrame,
+    keys: Sequence[str],
+    primary_key: bool = False,
+    values: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per key of either side: ``n_target``, ``n_given`` and the rows' other columns as structs
     ``target_row``, ``given_row`` (NULL where a side has no row or, as there is no telling which to pair, several).
@@ -28,24 +32,26 @@ def row_pairs(
     With ``primary_key`` the key is known to be unique and free of NULL on both sides (see ``key_profile``):
     a full outer join, about half the work, and no shuffle at all for tables bucketed on the key.
     """
-    return pair_sides(align(target, given, keys, values), primary_key)
+    sides = align(target, given, keys, values)
+    return pair_sides(sides, primary_key).select(
+        *cols(sides.keys),
+        "n_target",
+        "n_given",
+        F.when(F.col("n_target") == 1, F.col("target_row")).alias("target_row"),
+        F.when(F.col("n_given") == 1, F.col("given_row")).alias("given_row"),
+    )
 
 
 def pair_sides(sides: Sides, primary_key: bool) -> DataFrame:
-    """:func:`row_pairs` of two sides already aligned."""
+    """:func:`row_pairs` of sides already aligned, but with some row of a key that has several."""
     reserve(sides.keys, "n_target", "n_given", "target_row", "given_row")
-    names = sides.values
-
-    def packed(df: DataFrame) -> Column:
-        return F.struct(*cols(names)) if names else F.struct(F.lit(True).alias("present"))
-
+    packed = F.struct(*cols(sides.values)) if sides.values else F.struct(F.lit(True).alias("present"))
     if primary_key:
-        ours = sides.target.select(*cols(sides.keys), packed(sides.target).alias("target_row"), F.lit(1).alias("n_target"))
-        theirs = sides.given.select(*cols(sides.keys), packed(sides.given).alias("given_row"), F.lit(1).alias("n_given"))
+        ours = sides.target.select(*cols(sides.keys), packed.alias("target_row"), F.lit(1).alias("n_target"))
+        theirs = sides.given.select(*cols(sides.keys), packed.alias("given_row"), F.lit(1).alias("n_given"))
         return ours.join(theirs, on=sides.keys, how="full_outer").select(
             *cols(sides.keys),
-            F.coalesce("n_target", F.lit(0)).cast("bigint").alias("n_target"),
-            F.coalesce("n_given", F.lit(0)).cast("bigint").alias("n_given"),
+            *[F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in ("n_target", "n_given")],
             "target_row",
             "given_row",
         )
@@ -53,38 +59,41 @@ def pair_sides(sides: Sides, primary_key: bool) -> DataFrame:
         sides.given.select("*", F.lit(False).alias("_ours"))
     )
     ours = F.col("_ours")
-    grouped = both.groupBy(*cols(sides.keys)).agg(
+    return both.groupBy(*cols(sides.keys)).agg(
         F.count_if(ours).alias("n_target"),
         F.count_if(~ours).alias("n_given"),
-        F.any_value(F.when(ours, packed(both)), ignoreNulls=True).alias("target_row"),
-        F.any_value(F.when(~ours, packed(both)), ignoreNulls=True).alias("given_row"),
-    )
-    return grouped.select(
-        *cols(sides.keys),
-        "n_target",
-        "n_given",
-        F.when(F.col("n_target") == 1, F.col("target_row")).alias("target_row"),
-        F.when(F.col("n_given") == 1, F.col("given_row")).alias("given_row"),
+        F.any_value(F.when(ours, packed), ignoreNulls=True).alias("target_row"),
+        F.any_value(F.when(~ours, packed), ignoreNulls=True).alias("given_row"),
     )
 
 
 def _differs(sides: Sides, name: str) -> Column:
-    ours, theirs = (comparable(F.col(side).getField(name), sides.types[name]) for side in ("target_row", "given_row"))
+    ours, theirs = (comparable(F.col(row).getField(name), sides.types[name]) for row in ("target_row", "given_row"))
     return ~ours.eqNullSafe(theirs)
 
 
-def key_status(sides: Sides) -> Column:
-    """The status of each row of :func:`pair_sides`."""
-    differing = reduce(Column.__or__, [_differs(sides, v) for v in sides.values], F.lit(False))
+def rows_differ(sides: Sides) -> Column:
+    """Whether the two rows of :func:`pair_sides` differ in any column."""
+    if any(has_map(sides.types[v]) for v in sides.values):
+        return reduce(Column.__or__, [_differs(sides, v) for v in sides.values])
+    return ~F.col("target_row").eqNullSafe(F.col("given_row"))
+
+
+def key_status(changed: Column) -> Column:
+    """The status of a key, given whether its two rows differ if it has one on each side."""
     return (
         F.when(F.greatest("n_target", "n_given") > 1, "duplicate_key")
         .when(F.col("n_given") == 0, "missing_in_given")
         .when(F.col("n_target") == 0, "only_in_given")
-        .when(differing, "changed")
+        .when(changed, "changed")
         .otherwise("same")
     )
 
 
+def _not_same(sides: Sides) -> Column:
+    return (F.col("n_target") != 1) | (F.col("n_given") != 1) | rows_differ(sides)
+
+
 def row_diff(
     target: DataFrame,
     given: DataFrame,
@@ -100,24 +109,23 @@ def row_diff(
     """
     sides = align(target, given, keys, values)
     reserve(sides.keys, "status", "changed_cols")
-    judged = pair_sides(sides, primary_key).withColumn("status", key_status(sides))
+    pairs = pair_sides(sides, primary_key)
     if not include_same:
-        judged = judged.where(F.col("status") != "same")
-    changed = F.array_compact(
-        F.array(*[F.when(_differs(sides, v), F.lit(v)) for v in sides.values]).cast("array<string>")
-    )
+        pairs = pairs.where(_not_same(sides))
+    one_each = (F.col("n_target") == 1) & (F.col("n_given") == 1)
+    names = F.array(*[F.when(_differs(sides, v), F.lit(v)) for v in sides.values]).cast("array<string>")
     nothing = F.array().cast("array<string>")
-    return judged.select(
-        *cols(sides.keys),
-        "status",
-        F.when(F.col("status") == "changed", changed).otherwise(nothing).alias("changed_cols"),
+    compared = pairs.withColumn("changed_cols", F.when(one_each, F.array_compact(names)).otherwise(nothing))
+    return compared.select(
+        *cols(sides.keys), key_status(F.size("changed_cols") > 0).alias("status"), "changed_cols"
     )
 
 
 def status_counts(target: DataFrame, given: DataFrame, keys: Sequence[str], primary_key: bool = False) -> DataFrame:
     """One row: rows on each side and keys of each status. No status is left out when it is zero."""
     sides = align(target, given, keys)
-    judged = pair_sides(sides, primary_key).select("n_target", "n_given", key_status(sides).alias("status"))
+    pairs = pair_sides(sides, primary_key)
+    judged = pairs.select("n_target", "n_given", key_status(rows_differ(sides)).alias("status"))
     return judged.agg(
         F.coalesce(F.sum("n_target"), F.lit(0)).alias("rows_target"),
         F.coalesce(F.sum("n_given"), F.lit(0)).alias("rows_given"),
@@ -126,12 +134,16 @@ def status_counts(target: DataFrame, given: DataFrame, keys: Sequence[str], prim
 
 
 def conflicts(target: DataFrame, given: DataFrame, keys: Sequence[str], primary_key: bool = False) -> DataFrame:
-    """One row per differing cell of the keys on both sides: ``column``, ``target_value``, ``given_value`` as text."""
+    """One row per differing cell of the keys on both sides: ``column``, ``target_value``, ``given_value`` as text.
+
+    A key with several rows on a side is left to :func:`row_diff` and :func:`bag_diff`.
+    """
     sides = align(target, given, keys)
     reserve(sides.keys, "column", "target_value", "given_value")
     if not sides.values:
         raise ValueError("the two sides share no columns besides the key")
-    pairs = pair_sides(sides, primary_key).where((F.col("n_target") == 1) & (F.col("n_given") == 1))
+    one_each = (F.col("n_target") == 1) & (F.col("n_given") == 1)
+    pairs = pair_sides(sides, primary_key).where(one_each & rows_differ(sides))
     cells = [
         F.when(
             _differs(sides, v),
@@ -147,7 +159,11 @@ def conflicts(target: DataFrame, given: DataFrame, keys: Sequence[str], primary_
 
 
 def change_log(
-    target: DataFrame, given: DataFrame, keys: Sequence[str], primary_key: bool = False, ops: Sequence[str] = ("insert", "update", "delete")
+    target: DataFrame,
+    given: DataFrame,
+    keys: Sequence[str],
+    primary_key: bool = False,
+    ops: Sequence[str] = ("insert", "update", "delete"),
 ) -> DataFrame:
     """What makes given equal target, row by row: ``op``, the row ``before`` (given) and ``after`` (target).
 
@@ -156,19 +172,24 @@ def change_log(
     """
     sides = align(target, given, keys)
     reserve(sides.keys, "op", "before", "after")
-    # The operation each status calls for.
-    meant = {"missing_in_given": "insert", "changed": "update", "only_in_given": "delete", "duplicate_key": "duplicate_key"}
-    names = F.create_map(*[F.lit(x) for pair in meant.items() for x in pair])
-    judged = pair_sides(sides, primary_key).withColumn("_status", key_status(sides)).where(F.col("_status") != "same")
-    repeated = F.col("op") == "duplicate_key"
+    # The operation each status calls for. No key that is the same gets this far.
+    op = (
+        F.when(F.greatest("n_target", "n_given") > 1, "duplicate_key")
+        .when(F.col("n_given") == 0, "insert")
+        .when(F.col("n_target") == 0, "delete")
+        .otherwise("update")
+    )
+    single = F.col("op") != "duplicate_key"
     return (
-        judged.withColumn("op", names[F.col("_status")])
-        .where(F.col("op").isin(*ops) | repeated)
+        pair_sides(sides, primary_key)
+        .where(_not_same(sides))
+        .select(*cols(sides.keys), op.alias("op"), "given_row", "target_row")
+        .where(F.col("op").isin(*ops, "duplicate_key"))
         .select(
             *cols(sides.keys),
             "op",
-            F.when(~repeated, F.col("given_row")).alias("before"),
-            F.when(~repeated, F.col("target_row")).alias("after"),
+            F.when(single, F.col("given_row")).alias("before"),
+            F.when(single, F.col("target_row")).alias("after"),
         )
     )
 
@@ -222,5 +243,6 @@ __all__ = [
     "pair_sides",
     "row_diff",
     "row_pairs",
+    "rows_differ",
     "status_counts",
 ]

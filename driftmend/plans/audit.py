@@ -17,7 +17,7 @@ from driftmend.functions.types import family
 from driftmend.operators import schema_audit
 from driftmend.operators.keys import key_presence, orphan_keys
 from driftmend.operators.mapping import map_schema
-from driftmend.operators.rows import STATUSES, bag_diff, key_status, pair_sides, status_counts
+from driftmend.operators.rows import STATUSES, bag_diff, pair_sides, rows_differ, status_counts
 from driftmend.plans.facts import with_affected
 from driftmend.sources.catalog import load_catalog
 from driftmend.sources.contract import Namespace, Reference
@@ -166,7 +166,8 @@ def _key_findings(
         raise ValueError(f"table {target.schema}.{name} has no primary key")
     if "changed" in checks:
         sides = align(left, right, keys)
-        pairs, changed = pair_sides(sides, primary_key=False), F.count_if(key_status(sides) == "changed")
+        one_each = (F.col("n_target") == 1) & (F.col("n_given") == 1)
+        pairs, changed = pair_sides(sides, primary_key=False), F.count_if(one_each & rows_differ(sides))
     else:
         pairs, changed = key_presence(left, right, keys), F.lit(0).cast("bigint")
     in_target, in_given = F.col("n_target"), F.col("n_given")
