@@ -76,9 +76,10 @@ def sync_candidates(target: DataFrame, given: DataFrame, progress: str, lookback
     if lookback is not None:
         mark = mark - F.lit(lookback)
     since = given.agg(F.coalesce(mark.cast(dtype), lowest(dtype))).scalar()
-    unmarked = given.agg(F.max(col(theirs)).isNull()).scalar()
-    # Rows without a progress value count as new only while there is no mark.
-    return target.where(col(ours) >= since).unionByName(target.where(col(ours).isNull() & unmarked))
+    # Rows without a progress value count as new only while there is no mark. Asked as an existence, since the
+    # planner would merge a second aggregate with the first into one that is not passed to the scan.
+    marked = given.where(col(theirs).isNotNull()).exists()
+    return target.where(col(ours) >= since).unionByName(target.where(col(ours).isNull() & ~marked))
 
 
 def incremental_sync(
