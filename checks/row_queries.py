@@ -243,3 +243,14 @@ def bucket_diff_text(t: Tables) -> DataFrame:
 def bucket_digest(t: Tables) -> DataFrame:
     """The digests themselves have no twin in SQL; their row counts must add up."""
     return dm.bucket_digest(t.orders, ORDER_KEY, 256).agg(F.sum("n_rows").alias("n_rows"))
+
+
+@query(f"WITH {GIVEN_ORDERS} SELECT o_orderkey, status FROM ({_ORDER_DIFF})")
+def digest_diff(t: Tables) -> DataFrame:
+    return dm.digest_diff(t.orders, t.given_orders(), ORDER_KEY, include_same=True)
+
+
+@query(f"WITH {GIVEN_DOCUMENTS} SELECT doc_id, status FROM ({diff('documents', 'given_documents', ['doc_id'], ['text', 'lang', 'source', 'n_chars'], same=False)})")
+def digest_diff_text(t: Tables) -> DataFrame:
+    """Whole texts compared, only their digests shuffled."""
+    return dm.digest_diff(t.documents, t.given_documents(), ["doc_id"])

@@ -3,7 +3,7 @@
 ``target`` is what should be there, ``given`` is what is being audited; every function takes them in this order.
 """
 
-from driftmend.operators.buckets import bucket_diff, bucket_digest, differing_buckets
+from driftmend.operators.buckets import bucket_diff, bucket_digest, differing_buckets, digest_diff
 from driftmend.operators.keys import (
     key_presence,
     key_profile,
@@ -58,6 +58,7 @@ __all__ = [
     "conflicts",
     "copy_table",
     "differing_buckets",
+    "digest_diff",
     "incremental_sync",
     "key_presence",
     "key_profile",

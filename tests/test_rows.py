@@ -162,3 +162,17 @@ def test_swapped_cells_and_copies_change_the_digest(spark):
 def test_bucket_diff_keeps_nothing_of_equal_tables(sides):
     target, _ = sides
     assert dm.bucket_diff(target, target, KEYS).isEmpty()
+
+
+def test_digest_diff_is_row_diff(sides):
+    target, given = sides
+    found = {(r["k1"], r["k2"]): r["status"] for r in dm.digest_diff(target, given, KEYS, include_same=True).collect()}
+    assert found == {k: status for k, (status, _) in statuses(TARGET, GIVEN).items()}
+    changes = {(r["k1"], r["k2"]) for r in dm.digest_diff(target, given, KEYS).collect()}
+    assert changes == {k for k, status in found.items() if status != "same"}
+
+
+def test_digest_diff_of_keys_only(spark):
+    target, given = spark.createDataFrame([(1,), (2,)], "k int"), spark.createDataFrame([(2,), (3,)], "k int")
+    found = {r["k"]: r["status"] for r in dm.digest_diff(target, given, ["k"], include_same=True).collect()}
+    assert found == {1: "missing_in_given", 2: "same", 3: "only_in_given"}
