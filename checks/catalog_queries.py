@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +10,7 @@ from checks.registry import query
 from checks.sql import GIVEN_ORDERS, counted_columns, union_all
 from checks.tables import KEYS, REFERENCES, TABLES, Tables
 from driftmend.functions.display import key_text
+from driftmend.functions.frames import stacked
 from driftmend.operators import schema_audit
 
 _N_ROWS = union_all([f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES])
@@ -59,7 +58,7 @@ def list_primary_keys(t: Tables) -> DataFrame:
         for name, keys in KEYS.items()
     ]
     found = dm.list_primary_keys(dm.load_catalog(t.spark, space), "main")
-    return found.join(reduce(DataFrame.unionByName, profiles), on="table").select(
+    return found.join(stacked(profiles), on="table").select(
         F.col("table").alias("table_name"),
         F.col("position").cast("bigint").alias("position"),
         F.col("column").alias("column_name"),
@@ -92,7 +91,7 @@ def list_foreign_keys(t: Tables) -> DataFrame:
     facts = dm.column_facts(space, referring)
     found = dm.list_foreign_keys(dm.load_catalog(t.spark, space), "main")
     return (
-        found.join(reduce(DataFrame.unionByName, counted), on=["table", "column"])
+        found.join(stacked(counted), on=["table", "column"])
         .join(facts, on=["table", "column"])
         .select(
             F.col("table").alias("table_name"),

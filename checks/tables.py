@@ -128,9 +128,12 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
+        """A table, opened when first asked for."""
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
     def namespace(self, *names: str, contracts: tuple[TableContract, ...] = CONTRACTS) -> Namespace:
         return Namespace("main", {name: getattr(self, name) for name in names or TABLES}, contracts)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from driftmend.functions.names import col, cols, reserve, resolve
 from driftmend.functions.sides import align
+from driftmend.functions.types import common_key_type
 
 
 def scan_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -112,16 +113,16 @@ def orphan_keys(
 def _reference(
     child: DataFrame, parent: DataFrame, columns: Sequence[str], parent_columns: Sequence[str]
 ) -> tuple[DataFrame, DataFrame, list[str]]:
-    columns = resolve(child, columns)
-    parent_columns = resolve(parent, parent_columns)
+    """Complete references of child and the keys they can point at, in columns of the same names and types."""
+    columns, parent_columns = resolve(child, columns), resolve(parent, parent_columns)
     names = [f"_ref_{i}" for i in range(len(columns))]
-    theirs = parent.select(*[col(p).alias(n) for p, n in zip(parent_columns, names, strict=True)])
+    ours, theirs = [], []
+    for name, c, p in zip(names, columns, parent_columns, strict=True):
+        dtype = common_key_type(child.schema[c].dataType, parent.schema[p].dataType)
+        ours.append(col(c).cast(dtype).alias(name))
+        theirs.append(col(p).cast(dtype).alias(name))
     complete = child.where(reduce(Column.__and__, [col(c).isNotNull() for c in columns]))
-    ours = complete.select("*", *[col(c).alias(n) for c, n in zip(columns, names, strict=True)])
-    # Checks that the key types can be compared and brings both sides to them.
-    keyed = align(ours.select(*names), theirs, names, values=[])
-    ours = ours.select(*cols(child.columns), *[F.col(n).cast(keyed.types[n]).alias(n) for n in names])
-    return ours, keyed.given, names
+    return complete.select("*", *ours), parent.select(*theirs), names
 
 
 __all__ = [

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftmend.functions.findings import finding
+from driftmend.functions.frames import stacked
 from driftmend.sources.catalog import Catalog
 
 # Which catalog column holds the type at each strictness of comparison.
@@ -110,7 +111,7 @@ def missing_dependencies(
     no_column = in_table.join(columns, on=["ref_schema", "_ref_table", "_ref_column"], how="left_anti").select(
         *finding("missing_dependency_column", table, column, None, table, to_column, to_table, to_schema)
     )
-    return no_schema.unionByName(no_table).unionByName(no_column)
+    return stacked([no_schema, no_table, no_column])
 
 
 def name_collisions(catalog: Catalog, schema: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftmend.functions.findings import finding, labelled
+from driftmend.functions.frames import stacked
 from driftmend.functions.names import cols
 from driftmend.functions.sides import align
 from driftmend.functions.types import family
@@ -69,7 +70,7 @@ def audit(
     if "dependencies" in checks:
         about_schema.append(schema_audit.missing_dependencies(ours, theirs, schema, include_same_schema, here))
     if "affected" in checks:
-        about_schema = [with_affected(reduce(DataFrame.unionByName, about_schema), target, given)] if about_schema else []
+        about_schema = [with_affected(stacked(about_schema), target, given)] if about_schema else []
 
     found: list[DataFrame] = list(about_schema)
     failures = [(name, "load_error", text) for space in (target, given) for name, text in sorted(space.errors.items())]
@@ -86,7 +87,7 @@ def audit(
         found.append(_failures(spark, failures))
     if not found:
         raise ValueError("there is nothing to check")
-    return labelled(reduce(DataFrame.unionByName, found), run_id).orderBy("table", "kind", "column", "message")
+    return labelled(stacked(found), run_id).orderBy("table", "kind", "column", "message")
 
 
 def reverse_check(target: Namespace, given: Namespace, **options) -> DataFrame:
@@ -117,7 +118,7 @@ def audit_metrics(
         frames.append(counted.select(F.lit(name).alias("table"), *cols(counted.columns), orphans))
     if not frames:
         raise ValueError("the two sides share no table")
-    return reduce(DataFrame.unionByName, frames)
+    return stacked(frames)
 
 
 def _orphan_findings(

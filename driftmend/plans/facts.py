@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftmend.functions.frames import stacked
 from driftmend.operators.rows import observed_nullability
 from driftmend.sources.contract import Namespace
 
@@ -15,19 +15,21 @@ from driftmend.sources.contract import Namespace
 def column_facts(space: Namespace, wanted: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """``table``, ``column``, ``n_rows``, ``null_count``: one pass over each table, reading the wanted columns only.
 
-    Every table also has a row without a column, for its number of rows.
+    A table of which no column is wanted has one row without a column, for its number of rows.
     """
     wanted = {name: space.tables[name].columns for name in space.names()} if wanted is None else wanted
     frames = []
     for name, columns in wanted.items():
         table = space.tables[name]
-        counted = table.agg(F.count(F.lit(1)).alias("n_rows")) if not columns else observed_nullability(table, columns)
-        if not columns:
-            counted = counted.select(F.lit(None).cast("string").alias("column"), "n_rows", F.lit(0).cast("bigint").alias("null_count"))
+        if columns:
+            counted = observed_nullability(table, columns)
+        else:
+            unnamed = F.lit(None).cast("string").alias("column")
+            counted = table.agg(F.count(F.lit(1)).alias("n_rows")).select(unnamed, "n_rows", F.lit(0).cast("bigint").alias("null_count"))
         frames.append(counted.select(F.lit(name).alias("table"), "column", "n_rows", "null_count"))
     if not frames:
         raise ValueError("there is no table to count")
-    return reduce(DataFrame.unionByName, frames)
+    return stacked(frames)
 
 
 def columns_in_question(target: Namespace, given: Namespace) -> dict[str, list[str]]:
