@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftmend.functions.names import col, cols, resolve
-from driftmend.functions.types import common_key_type, common_type, zero
+from driftmend.functions.types import common_key_type, common_type
 
 
 @dataclass(frozen=True)
@@ -45,22 +46,21 @@ def align(target: DataFrame, given: DataFrame, keys: Sequence[str], values: Sequ
     return Sides(target.select(*left), given.select(*right), list(keys), list(values), types)
 
 
-def with_match_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Add columns that are equal exactly when the keys are the same, NULL counting as a value.
+def distinct_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """The distinct keys of ``df`` under other names, and the null-safe condition that a row's ``keys`` match them.
 
-    Written out as value + is-null flag rather than ``<=>`` so that an aggregation on these
-    columns and a join on them share one exchange.
+    A null-safe join hashes its keys in another way than the aggregation before it, so the distinct keys
+    are shuffled once more. That is wanted: adaptive execution splits the rows of a hot key only where
+    both inputs of the join come straight from a shuffle.
     """
-    added, parts = [], []
-    for i, key in enumerate(keys):
-        field = df.schema[key]
-        value = F.coalesce(col(key), zero(field.dataType)) if field.nullable else col(key)
-        added += [value.alias(f"_match_{i}"), col(key).isNull().alias(f"_null_{i}")]
-        parts += [f"_match_{i}", f"_null_{i}"]
-    return df.select("*", *added), parts
+    renamed = df.select(*[col(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
+    same = [col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
+    return renamed.distinct(), reduce(Column.__and__, same)
 
 
-def keep_by_key(rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str, primary_key: bool = False) -> DataFrame:
+def keep_by_key(
+    rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str, primary_key: bool = False
+) -> DataFrame:
     """Rows whose key is (``left_semi``) or is not (``left_anti``) among the keys of ``others``.
 
     ``others`` is reduced to distinct keys before its shuffle, so a key repeated there without end
@@ -71,6 +71,5 @@ def keep_by_key(rows: DataFrame, others: DataFrame, keys: Sequence[str], how: st
     if primary_key:
         kept = rows.join(others.select(*cols(keys)), on=list(keys), how=how)
         return kept.select(*cols(rows.columns))
-    left, parts = with_match_keys(rows, keys)
-    right, _ = with_match_keys(others.select(*cols(keys)), keys)
-    return left.join(right.select(*parts).distinct(), on=parts, how=how).select(*cols(rows.columns))
+    theirs, same = distinct_keys(others, keys)
+    return rows.join(theirs, on=same, how=how)

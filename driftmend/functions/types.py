@@ -104,19 +104,6 @@ def comparable(value: Column, dtype: T.DataType) -> Column:
     return F.when(value.isNotNull(), F.struct(*fields))
 
 
-def zero(dtype: T.DataType) -> Column:
-    """Some value of an atomic type, standing in for NULL next to an is-null flag."""
-    if isinstance(dtype, T.NumericType):
-        return F.lit(0).cast(dtype)
-    if isinstance(dtype, T.BooleanType):
-        return F.lit(False)
-    if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType, T.BinaryType)):
-        return F.lit("").cast(dtype)
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.lit("1970-01-01").cast(dtype)
-    raise ValueError(f"a key cannot be of type {dtype.simpleString()}")
-
-
 def lowest(dtype: T.DataType) -> Column:
     """A value no other value of the type lies below: the mark of an empty side."""
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):

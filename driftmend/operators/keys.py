@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftmend.functions.names import col, cols, reserve, resolve
-from driftmend.functions.sides import align
+from driftmend.functions.sides import align, keep_by_key
 from driftmend.functions.types import common_key_type
 
 
@@ -89,8 +89,7 @@ def orphan_rows(
     by adaptive execution, as the join only ever drops or keeps them.
     """
     complete, pointed_at, names = _reference(child, parent, columns, parent_columns)
-    kept = complete.join(pointed_at.distinct(), on=names, how="left_anti")
-    return kept.select(*cols(child.columns))
+    return keep_by_key(complete, pointed_at, names, "left_anti").select(*cols(child.columns))
 
 
 def orphan_keys(

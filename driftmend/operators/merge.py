@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftmend.functions.names import col, cols, resolve
-from driftmend.functions.sides import Sides, keep_by_key, with_match_keys
+from driftmend.functions.sides import Sides, keep_by_key
 from driftmend.operators.rows import pair_sides
 from driftmend.operators.sync import same_shape
 
@@ -102,17 +103,16 @@ def _fill_nulls(sides: Sides) -> DataFrame:
     for v in fillable:
         gap = gap | col(v).isNull()
     complete, gaps = sides.target.where(~gap), sides.target.where(gap)
-    keyed, parts = with_match_keys(gaps, sides.keys)
     wanted = keep_by_key(sides.given, gaps, sides.keys, "left_semi")
-    theirs, _ = with_match_keys(wanted, sides.keys)
-    filling = theirs.groupBy(*parts).agg(
+    theirs = wanted.groupBy(*[col(k).alias(f"_key_{i}") for i, k in enumerate(sides.keys)]).agg(
         *[
             (F.any_value(col(v), ignoreNulls=True) if _unordered(sides.types[v]) else F.min(col(v))).alias(f"_fill_{i}")
             for i, v in enumerate(fillable)
         ]
     )
+    same = [col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(sides.keys)]
     at = {v: i for i, v in enumerate(fillable)}
-    filled = keyed.join(filling, on=parts, how="left").select(
+    filled = gaps.join(theirs, on=reduce(Column.__and__, same), how="left").select(
         *cols(sides.keys),
         *[F.coalesce(col(v), F.col(f"_fill_{at[v]}")).alias(v) if v in at else col(v) for v in sides.values],
     )

@@ -77,3 +77,34 @@ def test_a_hot_bucket(sides):
     found = dm.bucket_diff(target, given, ["k"], n=4).groupBy("status").count().collect()
     expected = dm.row_diff(target, given, ["k"], include_same=False).groupBy("status").count().collect()
     assert sorted(map(tuple, found)) == sorted(map(tuple, expected))
+
+
+def test_adaptive_execution_splits_the_rows_of_a_hot_key(spark, tmp_path):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    hot = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id"))
+    wide = F.sha2(F.col("id").cast("string"), 256).alias("s")
+    spark.range(0, 60_000, 1, 8).select(hot.alias("k"), F.col("id").alias("v"), wide).write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    given = target.where("k % 5 != 4 and k <> -1")
+    blanked = target.withColumn("s", F.when(F.col("v") % 2 == 0, F.col("s")))
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        for result in (
+            dm.rows_to_insert(target, given, ["k"]),
+            dm.orphan_rows(target, given, ["k"], ["k"]),
+            dm.merge_bidirectional(blanked, target, ["k"], "fill_nulls"),
+        ):
+            result.collect()
+            assert "skew=true" in result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
