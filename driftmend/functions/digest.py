@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftmend.functions.names import col
+from driftmend.functions.types import canonical
 
+_NESTED = (T.ArrayType, T.MapType, T.StructType)
 _JSON = {
     "ignoreNullFields": "false",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -18,15 +20,17 @@ _JSON = {
 
 
 def _hash_parts(df: DataFrame, names: Sequence[str]) -> list[Column]:
+    """What to hash of a row. A NULL leaves a running hash unchanged, so where NULLs are is hashed as well."""
     parts: list[Column] = []
     for name in names:
-        dtype = df.schema[name].dataType
-        value = col(name)
-        if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-            # NULLs inside a nested value leave a hash unchanged; its JSON text shows them.
-            value = F.to_json(F.struct(value.alias("v")), _JSON)
-        # A NULL leaves the running hash unchanged, so each value follows its own null flag.
-        parts += [col(name).isNull(), value]
+        dtype, value = df.schema[name].dataType, col(name)
+        parts.append(value.isNull())
+        if isinstance(dtype, T.ArrayType) and not isinstance(dtype.elementType, _NESTED):
+            parts += [F.size(value), value, F.transform(value, lambda e: e.isNull())]
+        elif isinstance(dtype, _NESTED):
+            parts.append(F.to_json(F.struct(canonical(value, dtype).alias("v")), _JSON))
+        else:
+            parts.append(value)
     return parts
 
 

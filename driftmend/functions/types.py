@@ -86,22 +86,29 @@ def has_map(dtype: T.DataType) -> bool:
 
 def comparable(value: Column, dtype: T.DataType) -> Column:
     """``value`` with every map turned into its sorted entries: maps can be neither compared nor hashed."""
-    if not has_map(dtype):
-        return value
+    return canonical(value, dtype) if has_map(dtype) else value
+
+
+def canonical(value: Column, dtype: T.DataType) -> Column:
+    """A nested value rebuilt so that equal values look equal: maps as sorted entries, no negative zeros."""
     if isinstance(dtype, T.MapType):
         return F.array_sort(
             F.transform(
                 F.map_entries(value),
                 lambda e: F.struct(
-                    comparable(e["key"], dtype.keyType).alias("key"),
-                    comparable(e["value"], dtype.valueType).alias("value"),
+                    canonical(e["key"], dtype.keyType).alias("key"),
+                    canonical(e["value"], dtype.valueType).alias("value"),
                 ),
             )
         )
     if isinstance(dtype, T.ArrayType):
-        return F.transform(value, lambda e: comparable(e, dtype.elementType))
-    fields = [comparable(value.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
-    return F.when(value.isNotNull(), F.struct(*fields))
+        return F.transform(value, lambda e: canonical(e, dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        fields = [canonical(value.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(dtype, _FLOATING):
+        return value + F.lit(0.0).cast(dtype)
+    return value
 
 
 def lowest(dtype: T.DataType) -> Column:

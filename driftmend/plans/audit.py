@@ -6,6 +6,7 @@ from collections.abc import Collection, Sequence
 from functools import reduce
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,7 +66,7 @@ def audit(
             schema_audit.missing_columns(ours, theirs, schema, here),
             schema_audit.type_mismatches(ours, theirs, schema, compare_types, here),
             schema_audit.nullability_mismatches(ours, theirs, schema, here),
-            schema_audit.name_collisions(ours, schema),
+            schema_audit.name_collisions(ours, schema).union(schema_audit.name_collisions(theirs, here)).distinct(),
         ]
     if "dependencies" in checks:
         about_schema.append(schema_audit.missing_dependencies(ours, theirs, schema, include_same_schema, here))
@@ -81,7 +82,7 @@ def audit(
         for part in (_orphan_findings, _cast_findings, _key_findings):
             try:
                 found += part(name, other, target, given, others, checks)
-            except ValueError as error:
+            except (ValueError, AnalysisException) as error:
                 failures.append((name, "table_error", str(error)))
     if failures:
         found.append(_failures(spark, failures))

@@ -213,3 +213,11 @@ def test_affected_rows_are_counted_on_the_columns_in_question_only(spark, tmp_pa
     found = dm.audit(target, given, checks=("schema", "affected"))
     assert kinds(found) == [("gone", "missing_table", None, 4), ("t", "missing_column", "v", 1)]
     assert "ReadSchema: struct<v:string>" in found._jdf.queryExecution().toString()
+
+
+def test_colliding_columns_do_not_stop_an_audit(spark):
+    odd = spark.createDataFrame([(1, "x", "y")], "id int, v string, V string")
+    target = Namespace("main", {"t": odd, "u": spark.range(1)}, (TableContract("t", keys="id"), TableContract("u", keys="id")))
+    given = Namespace("main", {"t": odd, "u": spark.range(0)})
+    found = {(r["table"], r["kind"]) for r in dm.audit(target, given, checks=("schema", "rows", "changed")).collect()}
+    assert {("t", "name_collision"), ("t", "table_error"), ("u", "unsynced_rows")} <= found

@@ -176,3 +176,31 @@ def test_digest_diff_of_keys_only(spark):
     target, given = spark.createDataFrame([(1,), (2,)], "k int"), spark.createDataFrame([(2,), (3,)], "k int")
     found = {r["k"]: r["status"] for r in dm.digest_diff(target, given, ["k"], include_same=True).collect()}
     assert found == {1: "missing_in_given", 2: "same", 3: "only_in_given"}
+
+
+def test_digests_agree_with_comparison_on_nested_values_and_zeros(spark):
+    schema = "k int, d double, a array<double>, s struct<x:float,l:array<string>>, m map<string,double>"
+    target = spark.createDataFrame(
+        [
+            (1, 0.0, [0.0, None], (0.0, ["a", None]), {"a": 0.0, "b": 1.0}),
+            (2, float("nan"), [float("nan")], (None, []), {}),
+            (3, 1.0, [1.0, None], (1.0, ["ab", "c"]), None),
+            (4, 1.0, [], (1.0, None), None),
+            (5, None, [None, 1.0], None, None),
+        ],
+        schema,
+    )
+    given = spark.createDataFrame(
+        [
+            (1, -0.0, [-0.0, None], (-0.0, ["a", None]), {"b": 1.0, "a": -0.0}),
+            (2, float("nan"), [float("nan")], (None, []), {}),
+            (3, 1.0, [None, 1.0], (1.0, ["a", "bc"]), None),
+            (4, 1.0, None, (1.0, []), None),
+            (5, 1.0, [None, 1.0], (None, None), None),
+        ],
+        schema,
+    )
+    exact = {r["k"]: r["status"] for r in dm.row_diff(target, given, ["k"]).collect()}
+    assert exact == {1: "same", 2: "same", 3: "changed", 4: "changed", 5: "changed"}
+    assert {r["k"]: r["status"] for r in dm.digest_diff(target, given, ["k"], include_same=True).collect()} == exact
+    assert {r["k"] for r in dm.bucket_diff(target, given, ["k"]).collect()} == {3, 4, 5}
