@@ -48,13 +48,18 @@ def read_database(spark: SparkSession, database: str, contracts: Iterable[TableC
     return Namespace(database, tables, tuple(contracts), errors)
 
 
+def quoted(name: str) -> str:
+    """A database identifier in double quotes."""
+    return '"' + name.replace('"', '""') + '"'
+
+
 @dataclass(frozen=True)
 class Split:
     """How a JDBC read of one table is split over tasks: ranges of a numeric, date or timestamp column."""
 
     column: str
-    lower: str
-    upper: str
+    lower: object
+    upper: object
     partitions: int
 
     def options(self) -> dict[str, str]:
@@ -68,8 +73,7 @@ class Split:
 
 def jdbc_options(schema: str, table: str, split: Split | None = None, fetch_size: int = 10_000) -> dict[str, str]:
     """Read options of one table. Without a split a table is one task, which only suits small ones."""
-    name = ".".join('"' + part.replace('"', '""') + '"' for part in (schema, table))
-    options = {"dbtable": name, "fetchsize": str(fetch_size)}
+    options = {"dbtable": f"{quoted(schema)}.{quoted(table)}", "fetchsize": str(fetch_size)}
     return options if split is None else {**options, **split.options()}
 
 
@@ -81,16 +85,45 @@ def jdbc_catalog(spark: SparkSession, connection: Mapping[str, str]) -> Catalog:
     )
 
 
+def bounds_query(schema: str, table: str, column: str) -> str:
+    """The least and greatest value of a column, as a relation a JDBC read can take."""
+    name, of = quoted(column), f"{quoted(schema)}.{quoted(table)}"
+    return f"(SELECT min({name}) AS lower, max({name}) AS upper FROM {of}) AS bounds"
+
+
+def splits_by_key(
+    spark: SparkSession, connection: Mapping[str, str], catalog: Catalog, schema: str, partitions: int
+) -> dict[str, Split]:
+    """A split for every table with an integer key column, over the range its values have now."""
+    integers = catalog.columns.where(F.col("data_type").isin("smallint", "int", "bigint"))
+    first = catalog.primary_keys.where((F.col("schema") == schema) & (F.col("position") == 1))
+    splits = {}
+    for row in first.join(integers, on=["schema", "table", "column"]).select("table", "column").toLocalIterator():
+        query = bounds_query(schema, row["table"], row["column"])
+        found = spark.read.format("jdbc").options(**dict(connection), dbtable=query).load().first()
+        if found["lower"] is not None:
+            splits[row["table"]] = Split(row["column"], found["lower"], found["upper"], partitions)
+    return splits
+
+
 def read_jdbc(
-    spark: SparkSession, schema: str, connection: Mapping[str, str], splits: Mapping[str, Split] | None = None
+    spark: SparkSession,
+    schema: str,
+    connection: Mapping[str, str],
+    partitions: int = 64,
+    splits: Mapping[str, Split] | None = None,
 ) -> tuple[Namespace, Catalog]:
-    """All tables and views of a database schema, with the keys and references declared there."""
+    """All tables and views of a database schema, with the keys and references declared there.
+
+    Each table with an integer key is read in ``partitions`` tasks; give ``splits`` for others that are large.
+    """
     catalog = jdbc_catalog(spark, connection)
+    chosen = {**splits_by_key(spark, connection, catalog, schema, partitions), **(splits or {})}
     tables: dict[str, DataFrame] = {}
     errors: dict[str, str] = {}
     for row in catalog.tables.where(F.col("schema") == schema).orderBy("table").toLocalIterator():
         name = row["table"]
-        options = {**dict(connection), **jdbc_options(schema, name, (splits or {}).get(name))}
+        options = {**dict(connection), **jdbc_options(schema, name, chosen.get(name))}
         try:
             tables[name] = spark.read.format("jdbc").options(**options).load()
         except PySparkException as error:

@@ -4,26 +4,28 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftmend.functions.names import cols
+from driftmend.sources.readers import quoted
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the folder all executors share.
 
-    That is the session's ``spark.checkpoint.dir``. Where it is unset, as in a local test, a
-    temporary folder is made and set for the session.
+    That is the session's ``spark.checkpoint.dir`` or the checkpoint folder set on its context. Where neither
+    is set, as in a local test, a temporary folder is; on a cluster that is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="driftmend-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="driftmend-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/driftmend/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -47,11 +49,11 @@ def copy_table(source: DataFrame, destination: str, format: str = "parquet", par
     (writer.partitionBy(*partition_by) if partition_by else writer).save(destination)
 
 
-def copy_to_database(source: DataFrame, table: str, connection: dict[str, str], tasks: int = 32) -> None:
+def copy_to_database(
+    source: DataFrame, schema: str, table: str, connection: Mapping[str, str], tasks: int = 32
+) -> None:
     """Append every row of ``source`` to a database table over JDBC, at most ``tasks`` connections at a time."""
-    schema, _, name = table.rpartition(".")
-    quoted = ".".join('"' + part.replace('"', '""') + '"' for part in (schema, name) if part)
-    options = {**connection, "dbtable": quoted, "numPartitions": str(tasks), "batchsize": "10000"}
+    options = {**connection, "dbtable": f"{quoted(schema)}.{quoted(table)}", "numPartitions": str(tasks), "batchsize": "10000"}
     source.write.mode("append").format("jdbc").options(**options).save()
 
 

@@ -3,7 +3,7 @@ import pytest
 import driftmend as dm
 from driftmend import Namespace, Reference, TableContract
 from driftmend.sources.information_schema import catalog_from_information_schema, contracts_of
-from driftmend.sources.readers import Split, jdbc_options
+from driftmend.sources.readers import Split, bounds_query, jdbc_options
 from driftmend.sources.sinks import save_bucketed, staged, work_folder
 
 
@@ -95,6 +95,7 @@ def test_jdbc_reads_are_split_and_quoted():
         "upperBound": "1000000",
         "numPartitions": "64",
     }
+    assert bounds_query("s", "t", 'a"b') == '(SELECT min("a""b") AS lower, max("a""b") AS upper FROM "s"."t") AS bounds'
 
 
 def test_files_that_cannot_be_opened_are_kept_as_errors(spark, tmp_path):
@@ -167,3 +168,27 @@ def test_bucketed_tables_are_compared_without_a_shuffle(spark):
         assert (counts["missing_in_given"], counts["only_in_given"], counts["same"]) == (50, 50, 50)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_without_a_checkpoint_folder_a_local_session_makes_one_and_a_cluster_refuses(spark):
+    class Unset:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        def __init__(self, master):
+            self.master, self.folder = master, None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        def __init__(self, master):
+            self.conf, self.sparkContext = Unset(), Context(master)
+
+    assert "driftmend-" in work_folder(Session("local[2]"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(Session("yarn"), "x")
