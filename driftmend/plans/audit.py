@@ -21,7 +21,7 @@ from driftmend.operators.keys import key_presence, orphan_keys
 from driftmend.operators.mapping import map_schema
 from driftmend.operators.rows import STATUSES, bag_diff, pair_sides, rows_differ, status_counts
 from driftmend.plans.facts import with_affected
-from driftmend.sources.catalog import load_catalog
+from driftmend.sources.catalog import Catalog, load_catalog
 from driftmend.sources.contract import Namespace, Reference
 
 # The checks a plain audit runs, and those that can be added.
@@ -38,6 +38,7 @@ def audit(
     include_same_schema: bool = False,
     exclude: Sequence[str] = (),
     others: Sequence[Namespace] = (),
+    catalogs: tuple[Catalog, Catalog] | None = None,
 ) -> DataFrame:
     """Everything given lacks or has differently, as findings; lazy, so one action runs all checks of all tables.
 
@@ -51,13 +52,14 @@ def audit(
     * ``casts``: values of target that given's column type cannot hold
 
     A table that cannot be compared is a finding itself and the others go on. All counts of a table that
-    concern its key come from one pass over it.
+    concern its key come from one pass over it. ``catalogs`` replaces the catalogs of target and given, where
+    a database has its own (``read_jdbc``): with these ``compare_types="source"`` compares its type names.
     """
     unknown = set(checks) - {*CHECKS, *FURTHER_CHECKS}
     if unknown:
         raise ValueError(f"unknown checks {sorted(unknown)}; there are {[*CHECKS, *FURTHER_CHECKS]}")
     spark = _session(target, given)
-    ours, theirs = load_catalog(spark, target), load_catalog(spark, given, *others)
+    ours, theirs = catalogs or (load_catalog(spark, target), load_catalog(spark, given, *others))
     schema, here = target.schema, given.schema
     about_schema: list[DataFrame] = []
     if "schema" in checks:

@@ -24,8 +24,9 @@ def column_facts(space: Namespace, wanted: Mapping[str, Sequence[str]] | None =
         if columns:
             counted = observed_nullability(table, columns)
         else:
-            unnamed = F.lit(None).cast("string").alias("column")
-            counted = table.agg(F.count(F.lit(1)).alias("n_rows")).select(unnamed, "n_rows", F.lit(0).cast("bigint").alias("null_count"))
+            counted = table.agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(None).cast("string").alias("column"), "n_rows", F.lit(0).cast("bigint").alias("null_count")
+            )
         frames.append(counted.select(F.lit(name).alias("table"), "column", "n_rows", "null_count"))
     if not frames:
         raise ValueError("there is no table to count")

@@ -53,8 +53,8 @@ def copy_to_database(
     source: DataFrame, schema: str, table: str, connection: Mapping[str, str], tasks: int = 32
 ) -> None:
     """Append every row of ``source`` to a database table over JDBC, at most ``tasks`` connections at a time."""
-    options = {**connection, "dbtable": f"{quoted(schema)}.{quoted(table)}", "numPartitions": str(tasks), "batchsize": "10000"}
-    source.write.mode("append").format("jdbc").options(**options).save()
+    writer = source.write.mode("append").format("jdbc").options(**connection)
+    writer.options(dbtable=f"{quoted(schema)}.{quoted(table)}", numPartitions=str(tasks), batchsize="10000").save()
 
 
 def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:

@@ -14,7 +14,12 @@ from driftmend.functions.sides import keep_by_key
 
 
 def read_arrivals(
-    spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet", glob: str | None = None, max_files: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    format: str = "parquet",
+    glob: str | None = None,
+    max_files: int | None = None,
 ) -> DataFrame:
     """A stream of the rows of files arriving in a folder, ``max_files`` of them per micro-batch."""
     reader = spark.readStream.schema(schema).format(format)

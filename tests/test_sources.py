@@ -83,6 +83,10 @@ def test_source_types_are_compared_by_name(database, spark):
     assert type_mismatches(database, other, "public").isEmpty()
     found = sorted(r["column"] for r in type_mismatches(database, other, "public", "source").collect())
     assert found == ["account", "tenant"]
+    space = Namespace("public", {"orders": spark.createDataFrame([], "id bigint, tenant string, account int")})
+    audited = dm.audit(space, space, checks=("schema",), compare_types="source", catalogs=(database, other))
+    kinds = sorted((r["kind"], r["column"]) for r in audited.where("table = 'orders'").collect())
+    assert kinds == [("nullability_mismatch", "id"), ("type_mismatch", "account"), ("type_mismatch", "tenant")]
 
 
 def test_jdbc_reads_are_split_and_quoted():
