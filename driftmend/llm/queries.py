@@ -4,9 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from driftmend.llm import language, licenses
+from driftmend.llm.decontamination import decontaminated
 from driftmend.llm.near_duplicates import near_duplicates
+from driftmend.llm.nearest import nearest
+from driftmend.llm.packing import packed, token_pieces
+from driftmend.llm.quality import learned, remainder, score_quality
+from driftmend.llm.resharding import reshard_documents
+from driftmend.llm.secrets import scan
+from driftmend.llm.suffix_tree import suffix_tree_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,3 +35,99 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked at a similarity of 85 % of 3-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores, learned from labelled documents outside the held-out third."""
+    docs = table(spark, sf_dir, "documents")
+    model = learned(docs, table(spark, sf_dir, "labels"))
+    return score_quality(docs, model).select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all texts, learned from six sevenths of them."""
+    docs = table(spark, sf_dir, "documents")
+    found = suffix_tree_scores(docs, remainder("doc_id", 7) != 2)
+    return found.withColumn("held_out", remainder("doc_id", 7) == 2)
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents inside windows of ten words of the benchmark."""
+    return decontaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+
+
+ORACLES["op4_decontamination"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+items AS (
+    SELECT item_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (
+    SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[p:p + least(10, len(w)) - 1], ' ') AS words
+    FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p FROM items WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (
+    SELECT r, p, n, array_to_string(w[p:p + n - 1], ' ') AS words
+    FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM docs, lengths WHERE len(w) >= n)),
+hits AS (SELECT DISTINCT r, p, places.n, item_id FROM places JOIN windows USING (words)),
+covered AS (
+    SELECT r, count(DISTINCT at) AS n_hit
+    FROM (SELECT r, unnest(range(p, p + n)) AS at FROM (SELECT DISTINCT r, p, n FROM hits)) GROUP BY r),
+found AS (
+    SELECT r, count(DISTINCT item_id) AS n_items,
+           array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS joined FROM hits GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(joined, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
+"""
+
+
+@query
+def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens in sequences of 2048, with a checksum of each piece."""
+    cut = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048, 0)
+    return packed(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), 2048)
+
+
+@query
+def op6_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents from 32 hashed shards to 40 of equal bytes, moving as few bytes as that takes."""
+    return reshard_documents(table(spark, sf_dir, "documents"), old_shards=32, shards=40)
+
+
+@query
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in all texts."""
+    return scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all texts, learned from three quarters of the documents."""
+    docs = table(spark, sf_dir, "documents")
+    network = language.learned(docs, remainder("doc_id", 4) != 2)
+    found = language.identify(docs.select(F.col("doc_id").cast("long"), "text"), network)
+    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows to every row whose vec_id is divisible by 20."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op10_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licence texts and notices among all documents."""
+    return licenses.license_digests(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_license_digests"] = licenses.oracle_sql()
