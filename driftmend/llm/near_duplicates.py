@@ -9,11 +9,12 @@ How pairs are found without forming all pairs of a group:
 
 1. Documents with equal sets fold into one class by a 128-bit digest.
 2. Within a band's bucket each class meets the bucket's smallest class only.
-3. Buckets that then still hold several components are cut into blocks; classes outside the bucket's largest component
-   meet all classes of other components, first the most similar few, then all that the likelihood leaves. A pair is
-   proposed by the first band it shares and by no other.
+3. Buckets that then still hold several components are cut into blocks; in cells of two blocks, classes outside the
+   bucket's largest component meet all classes of other components. A pair is tested in the first band it shares and in
+   no other, and of the links found a class reports one to each component.
 
-So any two classes that share a band are compared unless they already are in one component.
+So any two classes that share a band are compared unless they already are in one component, and what is written is
+links, not pairs. Sets travel as sorted hashes of 40 bits.
 """
 
 from __future__ import annotations
@@ -27,11 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftmend.llm.graph import components
-from driftmend.llm.texts import LOWER, NOT_BLANK, binary_array, lists_of_longs, long_array, mixed, numbers, pieces, words_of
+from driftmend.llm.graph import components, joined_components
+from driftmend.llm.texts import LOWER, NOT_BLANK, binary_array, long_array, mixed, numbers, pieces, words_of
 from driftmend.sources.sinks import staged
 
-BLOCK = 256
+BLOCK = 1024
+#: Rows of cells that one call gets, about.
+ROWS = 20_000
 
 
 @dataclass(frozen=True)
@@ -43,7 +46,7 @@ class SetSketch:
     """
 
     rows: int = 5
-    bands: int = 30
+    bands: int = 20
     base: float = 1.001
     rate: float = 20.0
     slack: float = 18.0
@@ -144,94 +147,126 @@ def signatures(docs: DataFrame, k: int, sketch: SetSketch) -> DataFrame:
     )
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(node, shingles) of the documents named by ``nodes``."""
+def _packed(shingles: np.ndarray) -> bytes:
+    """40 bits of each hash, sorted."""
+    short = np.sort(shingles >> np.uint64(24))
+    return np.ascontiguousarray(short.view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return out.view(np.uint64).ravel()
+
+
+def _full(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(node, n, sketch, shingles) of the classes ``wanted`` (node, n, d1, sketch), from the text of their smallest id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = numbers(13, 2)[0]
         for batch in batches:
-            for low, high, data, offsets in pieces(batch.column(1)):
+            for low, high, data, offsets in pieces(batch.column(4)):
+                node, n, d1, sketch = (c.slice(low, high - low) for c in batch.columns[:4])
                 rows = list(shingle_sets(data, offsets, k))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), lists_of_longs(rows)], names=["node", "shingles"]
-                )
+                digest = np.array([mixed(own ^ first).sum(dtype=np.uint64) for own in rows], np.uint64).view(np.int64)
+                # Another text under the same id is of another class.
+                same = pa.array(digest == d1.to_numpy())
+                columns = [node, n, sketch, binary_array([_packed(own) for own in rows])]
+                yield pa.RecordBatch.from_arrays([c.filter(same) for c in columns], names=["node", "n", "sketch", "shingles"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string"))
+    joined = wanted.join(texts, "node").select("node", "n", "d1", "sketch", "text")
+    return joined.mapInArrow(run, "node long, n long, sketch binary, shingles binary").distinct()
+
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string")).join(nodes, "node", "left_semi")
-    return wanted.mapInArrow(run, "node long, shingles array<long>")
+def _common(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of a sorted set with others."""
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    begins = np.cumsum([0, *map(len, others[:-1])])
+    return np.add.reduceat((one[at] == flat).astype(np.int64), begins)
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union, as a written table."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = staged(_sets(docs, nodes, k), "shingles")
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    linked = 100 * common >= percent * (F.size("sa") + F.size("sb") - common)
-    return staged(pairs.join(left, "a").join(right, "b").where(linked).select("a", "b"), "links")
+def _marks(column: pa.Array, sketch: SetSketch) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, sketch.registers)
 
 
-def _plausible_pairs(pairs: DataFrame, classes: DataFrame, sketch: SetSketch, least: float) -> DataFrame:
-    """The pairs (a, b) that the likelihood of their sketches does not rule out."""
+def _star_links(pairs: DataFrame, full: DataFrame, sketch: SetSketch, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose sketches leave it possible and whose sets have the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in (batch.slice(i, 4096) for i in range(0, batch.num_rows, 4096)):
-                a, b, n, m, x, y = part.columns
-                x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(-1, sketch.registers) for c in (x, y))
-                keep, _ = sketch.plausible((x > y).sum(axis=1), (x < y).sum(axis=1), n.to_numpy(), m.to_numpy(), least)
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in (a, b)], names=["a", "b"])
-
-    left = classes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-    right = classes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
-    # Sizes alone bound the similarity.
-    near = F.least("n_a", "n_b") >= (least - 1e-9) * F.greatest("n_a", "n_b")
-    joined = pairs.join(left, "a").join(right, "b").where(near)
-    return joined.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(run, "a long, b long")
+            for part in (batch.slice(i, 1024) for i in range(0, batch.num_rows, 1024)):
+                x, y = _marks(part.column(4), sketch), _marks(part.column(5), sketch)
+                n, m = part.column(2).to_numpy(), part.column(3).to_numpy()
+                keep, _ = sketch.plausible((x > y).sum(axis=1), (x < y).sum(axis=1), n, m, percent / 100)
+                for i in np.flatnonzero(keep):
+                    common = _common(_unpacked(part.column(6)[i].as_py()), [_unpacked(part.column(7)[i].as_py())])[0]
+                    keep[i] = 100 * common >= percent * (n[i] + m[i] - common)
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in part.columns[:2]], names=["a", "b"])
+
+    sides = [full.select(F.col("node").alias(e), *[F.col(c).alias(f"{c}_{e}") for c in ("n", "sketch", "shingles")]) for e in ("a", "b")]
+    joined = pairs.join(sides[0], "a").join(sides[1], "b")
+    return joined.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b", "shingles_a", "shingles_b").mapInArrow(run, "a long, b long")
 
 
-def _pairs_between(cells: DataFrame, sketch: SetSketch, least: float, best: int | None) -> DataFrame:
-    """Plausible pairs of a cell's ``outer`` classes with its other ones of another component.
+def _cell_links(cells: DataFrame, full: DataFrame, sketch: SetSketch, percent: int) -> DataFrame:
+    """Links (a, b) between a cell's ``outer`` classes and its other ones, one to each component.
 
-    A cell holds at most two blocks. With ``best``, each outer class proposes its most similar few per cell.
+    A cell holds at most about two blocks; many small ones are put through together.
     """
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        band = key[0].as_py()
-        table = table.combine_chunks()
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by([("band", "ascending"), ("key", "ascending"), ("i", "ascending"), ("j", "ascending"), ("outer", "descending")])
         outer = table.column("outer").to_numpy(zero_copy_only=False)
-        node, comp, size, hub = (table.column(c).to_numpy() for c in ("node", "component", "n", "hub"))
-        marks = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(-1, sketch.registers)
-        rest = np.flatnonzero(~outer)
-        found_a, found_b = [], []
-        for u in np.flatnonzero(outer):
-            # A pair is tested from its smaller class if both are outer, and the hub has met everyone.
-            other = rest[(comp[rest] != comp[u]) & (node[rest] != hub[u])]
-            if node[u] == hub[u] or not len(other):
-                continue
-            equal = marks[other] == marks[u]
-            together = equal.reshape(len(other), sketch.bands, sketch.rows).all(axis=2)
-            first = together.any(axis=1) & (together.argmax(axis=1) == band)
-            other, equal = other[first], equal[first]
-            if not len(other):
-                continue
-            more, less = (marks[u] > marks[other]).sum(axis=1), (marks[u] < marks[other]).sum(axis=1)
-            keep, guess = sketch.plausible(more, less, np.full(len(other), size[u]), size[other], least)
-            other, guess = other[keep], guess[keep]
-            if best is not None and len(other) > best:
-                other = other[np.lexsort((node[other], -guess))[:best]]
-            found_a.append(np.full(len(other), node[u]))
-            found_b.append(node[other])
-        none = np.zeros(0, np.int64)
-        a, b = np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
+        band, key, i, j, node, comp, size, hub = (table.column(c).to_numpy() for c in ("band", "key", "i", "j", "node", "component", "n", "hub"))
+        marks = _marks(table.column("sketch"), sketch)
+        packed = table.column("shingles")
+        cell = np.cumsum(np.concatenate(([0], (np.diff(band) != 0) | (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0))))
+        ends = np.concatenate((np.flatnonzero(np.diff(cell)) + 1, [len(cell)]))
+        middles = ends - np.bincount(cell, weights=~outer).astype(np.int64)
+        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        # Outer classes in turn, so many at a time that their pairs fill a small array. The hub has met everyone.
+        asked = np.flatnonzero(outer & (node != hub))
+        times = ends[cell[asked]] - middles[cell[asked]]
+        turn = np.cumsum(times) // 16384
+        sets: dict[int, np.ndarray] = {}
+        for t in np.unique(turn):
+            own, many = asked[turn == t], times[turn == t]
+            u = np.repeat(own, many)
+            v = np.repeat(middles[cell[own]], many) + np.arange(len(u)) - np.repeat(np.cumsum(many) - many, many)
+            apart = (comp[u] != comp[v]) & (node[v] != hub[u]) & (100 * np.minimum(size[u], size[v]) >= percent * np.maximum(size[u], size[v]))
+            u, v = u[apart], v[apart]
+            # Only the first band that two classes share tests them.
+            together = (marks[u] == marks[v]).reshape(len(u), sketch.bands, sketch.rows).all(axis=2)
+            first = together.argmax(axis=1) == band[u]
+            u, v = u[first], v[first]
+            keep, _ = sketch.plausible((marks[u] > marks[v]).sum(axis=1), (marks[u] < marks[v]).sum(axis=1), size[u], size[v], percent / 100)
+            u, v = u[keep], v[keep]
+            if sum(map(len, sets.values())) > 1 << 22:
+                sets.clear()
+            for x in {*u.tolist(), *v.tolist()} - sets.keys():
+                sets[x] = _unpacked(packed[x].as_py())
+            begins = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1]))) if len(u) else []
+            for low, high in zip(begins, [*begins[1:], len(u)], strict=True):
+                x, others = u[low], v[low:high]
+                common = _common(sets[x], [sets[y] for y in others.tolist()])
+                others = others[100 * common >= percent * (size[x] + size[others] - common)]
+                others = others[np.unique(comp[others], return_index=True)[1]]
+                found_a.append(np.full(len(others), node[x]))
+                found_b.append(node[others])
+        a, b = np.concatenate(found_a), np.concatenate(found_b)
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    return cells.groupBy("band", "key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    calls = max(1, -(-cells.count() // ROWS))
+    group = F.pmod(F.xxhash64("band", "key", "i", "j"), F.lit(calls))
+    return cells.join(full, "node").withColumn("_group", group).groupBy("_group").applyInArrow(run, "a long, b long")
 
 
-def _cells(members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+def _cells(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members of buckets with several components, dealt to cells of an outer and an any block."""
     placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    each = placed.groupBy("band", "key", "component").agg(F.count("*").alias("c"), F.min("hub").alias("hub"))
+    each = placed.groupBy("band", "key", "component").agg(F.count("*").alias("c"))
     buckets = each.groupBy("band", "key").agg(
         F.count("*").alias("n_components"), F.sum("c").alias("n_all"), F.max(F.struct("c", "component")).alias("top")
     )
@@ -251,33 +286,35 @@ def _cells(members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFram
     anyone = inside.select(
         "*", F.lit(False).alias("outer"), F.explode(F.sequence(F.lit(0), F.col("outer_blocks") - 1)).alias("i"), block(F.col("all_blocks")).alias("j")
     )
-    slim = outer.unionByName(anyone).select("band", "key", "i", "j", "outer", "node", "component", "hub")
-    return slim.join(classes, "node")
+    return staged(outer.unionByName(anyone).select("band", "key", "i", "j", "outer", "node", "component", "hub"), "cells")
 
 
-def links_and_components(docs: DataFrame, k: int, percent: int, sketch: SetSketch) -> tuple[DataFrame, DataFrame]:
+def classes_and_components(docs: DataFrame, k: int, percent: int, sketch: SetSketch) -> tuple[DataFrame, DataFrame]:
     """(signatures with class ids, components of classes); both are written tables."""
-    least = percent / 100
     signed = staged(signatures(docs, k, sketch), "signatures")
-    full = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    digests = staged(full.groupBy("d1", "d2").agg(F.min("doc_id").alias("node")), "classes")
-    heads = full.join(digests.withColumnRenamed("node", "doc_id"), ["d1", "d2", "doc_id"])
-    classes = staged(heads.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "sketch").distinct(), "sketches")
+    full_rows = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    head = F.min(F.struct("doc_id", "n_shingles", "sketch")).alias("head")
+    heads = staged(full_rows.groupBy("d1", "d2").agg(head).select("d1", "d2", "head.*"), "classes")
+    digests = heads.select("d1", "d2", F.col("doc_id").alias("node"))
 
     width = 2 * sketch.rows
     parts = [F.struct(F.lit(i).alias("band"), F.xxhash64(F.substring("sketch", 1 + width * i, width)).alias("key")) for i in range(sketch.bands)]
-    banded = classes.select("node", F.explode(F.array(*parts)).alias("b")).select("node", "b.band", "b.key")
-    shared = banded.groupBy("band", "key").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1").drop("c")
+    banded = heads.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.explode(F.array(*parts)).alias("b"))
+    banded = banded.select("node", "n", "b.band", "b.key")
+    shared = banded.groupBy("band", "key").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("c")).where("c > 1")
+    shared = shared.select("band", "key", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
     members = staged(banded.join(shared, ["band", "key"]), "members")
+    wanted = heads.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "d1", "sketch")
+    full = staged(_full(docs, wanted.join(members.select("node").distinct(), "node", "left_semi"), k), "shingles")
 
-    star = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = _confirmed(docs, staged(_plausible_pairs(star, classes, sketch, least), "pairs"), k, percent)
-    found = staged(components(links), "components")
-    for best in (8, None):
-        cells = _cells(members, classes, found)
-        more = _confirmed(docs, staged(_pairs_between(cells, sketch, least, best), "pairs"), k, percent)
-        links = links.unionByName(more)
-        found = staged(components(links), "components")
+    # Sizes alone bound the similarity.
+    near = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
+    star = members.where((F.col("node") != F.col("hub")) & near).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    found = staged(components(_star_links(star, full, sketch, percent)), "components")
+    cells = _cells(members, found)
+    more = staged(_cell_links(cells, full, sketch, percent), "links")
+    if not more.isEmpty():
+        found = staged(joined_components(found, more), "components")
     return signed.join(digests, ["d1", "d2"], "left"), found
 
 
@@ -293,7 +330,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, sketch
     gives an empty one.
     """
     sketch = sketch or SetSketch()
-    signed, found = links_and_components(docs, shingle, percent, sketch)
+    signed, found = classes_and_components(docs, shingle, percent, sketch)
     placed = signed.select("doc_id", "n_shingles", "node").join(found, "node", "left")
     component = F.coalesce("component", "node", "doc_id")
     return placed.select(

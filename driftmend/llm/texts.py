@@ -124,9 +124,3 @@ def long_array(values: np.ndarray) -> pa.Array:
 def binary_array(rows: list[bytes]) -> pa.Array:
     return pa.array(rows, type=pa.binary())
 
-
-def lists_of_longs(rows: list[np.ndarray]) -> pa.Array:
-    offsets = np.zeros(len(rows) + 1, dtype=np.int32)
-    np.cumsum([len(r) for r in rows], out=offsets[1:])
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
-    return pa.ListArray.from_arrays(pa.array(offsets), long_array(flat.astype(np.uint64, copy=False)))
