@@ -1,22 +1,85 @@
-"""A corpus pipeline of the training-data operators, stage by stage."""
+"""A corpus pipeline of the training-data operators: each stage works on what the one before kept."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from driftmend.llm import language, secrets
+from driftmend.llm.decontamination import contamination
+from driftmend.llm.near_duplicates import SetSketch, near_duplicates
+from driftmend.llm.packing import pack_documents
 from driftmend.sources.sinks import staged
-from driftmend.llm.near_duplicates import near_duplicates
+
+#: Mean probability below which no language is credible.
+LEAST_SCORE = 0.3
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``docs`` has no such column."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that those with a ``lang`` teach; null texts and texts without a letter go.
+
+    Where no document has a ``lang``, nothing can be learned and all documents stay.
+    """
+    network = language.learned(docs, F.lit(True))
+    if network is None:
+        return docs
+    found, score = _free(docs, "_language"), _free(docs, "_language_score")
+    known = language.identify(docs, network, found, score)
+    return known.where((F.col(found) != language.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts that share 80 % of their 5-word shingles."""
-    kept = near_duplicates(docs, shingle=5, percent=80).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """One document of each group of texts that share 80 % of their 5-word shingles, the one with the smallest id.
+
+    Rows with one id count as one document, and the text that hashes lowest stays; rows without an id all stay.
+    """
+    found = near_duplicates(docs, shingle=5, percent=80, sketch=SetSketch(rows=4))
+    kept = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept_id")).distinct()
+    rank = _free(docs, "_rank")
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    named = docs.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").withColumn(rank, F.row_number().over(one))
+    return named.where(F.col(rank) == 1).select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any ten words in a row of a benchmark item."""
+    _, hits = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("item_id IS NOT NULL"), size=10)
+    bad = hits.select(F.col("doc_id").alias("_bad_id"), F.col("digest").alias("_bad_digest")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_digest"))
+    return docs.join(bad, same, "left_anti")
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with each secret in their texts replaced by a mark; n_chars follows the text."""
+    clean = secrets.redacted(docs)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        clean = clean.withColumn("n_chars", F.coalesce(F.char_length("text").cast(kind), F.col("n_chars")))
+    return clean
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens in sequences of 2048."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2048, 0)
 
 
-STAGES = [("near_duplicates", drop_near_duplicates)]
+STAGES = [
+    ("language", keep_known_languages),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("secrets", mask_secrets),
+    ("packing", pack),
+]
 
-#: Sketches and similarity have no SQL form.
+#: Trained models, sketches and packing have no SQL form.
 ORACLE_SQL = None
 
 

@@ -256,20 +256,22 @@ def learned(docs: DataFrame, training: Column, per_language: int = 400, per_docu
     return trained(found["unit"].tolist(), labels, weights, languages)
 
 
-def identify(docs: DataFrame, network: Network | None) -> DataFrame:
-    """``docs`` (text, ...) with lang_pred and score added.
+def identify(docs: DataFrame, network: Network | None, language: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``docs`` (text, ...) with the columns ``language`` and ``score`` added.
 
-    score is the mean probability of lang_pred over all positions. A null text, or one without a letter, is ``und``
+    score is the mean probability of the language over all positions. A null text, or one without a letter, is ``und``
     with score 0, and so is every text if nothing was learned. Ties go to the language that sorts first. Other columns
-    are passed on as they are; repeated rows each get their row.
+    are passed on as they are, but for those of the same two names, which are replaced; repeated rows each get their
+    row, an empty table gives an empty one.
     """
+    docs = docs.drop(language, score)
     key = "_text"
     while key in docs.columns:
         key = f"_{key}"
     if network is None:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        return docs.withColumns({language: F.lit(UNKNOWN), score: F.lit(0.0)})
     shared = docs.sparkSession.sparkContext.broadcast((network, network.name()))
-    names = [*docs.columns, "lang_pred", "score"]
+    names = [*docs.columns, language, score]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, name = shared.value
@@ -288,15 +290,15 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
                         total[:, i] = np.bincount(rows, weights=each[back, i], minlength=m)
                 positions = np.bincount(rows, weights=words.ends - words.starts, minlength=m)
                 mean = total / np.maximum(positions, 1)[:, None]
-                best, score = mean.argmax(axis=1), np.minimum(mean.max(axis=1), 1.0)
+                best, top = mean.argmax(axis=1), np.minimum(mean.max(axis=1), 1.0)
                 ascii_letters = np.concatenate(([0], np.cumsum((LOWER[data] >= 0x61) & (LOWER[data] <= 0x7A))))
                 plain = ascii_letters[offsets[1:]] > ascii_letters[offsets[:-1]]
                 for i in np.flatnonzero(~plain):
                     if not (positions[i] and _has_letter(data[offsets[i] : offsets[i + 1]])):
-                        best[i], score[i] = len(network.languages), 0.0
+                        best[i], top[i] = len(network.languages), 0.0
                 kept = batch.slice(low, m).columns[:-1]
-                yield pa.RecordBatch.from_arrays([*kept, kinds.take(pa.array(best)), pa.array(score)], names=names)
+                yield pa.RecordBatch.from_arrays([*kept, kinds.take(pa.array(best)), pa.array(top)], names=names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     with_text = docs.select("*", F.col("text").cast("string").alias(key))
-    return with_text.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return with_text.mapInArrow(run, f"{schema}, `{language}` string, `{score}` double")

@@ -79,8 +79,8 @@ places AS (
     FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM docs, lengths WHERE len(w) >= n)),
 hits AS (SELECT DISTINCT r, p, places.n, item_id FROM places JOIN windows USING (words)),
 covered AS (
-    SELECT r, count(DISTINCT at) AS n_hit
-    FROM (SELECT r, unnest(range(p, p + n)) AS at FROM (SELECT DISTINCT r, p, n FROM hits)) GROUP BY r),
+    SELECT r, count(DISTINCT place) AS n_hit
+    FROM (SELECT r, unnest(range(p, p + n)) AS place FROM (SELECT DISTINCT r, p, n FROM hits)) GROUP BY r),
 found AS (
     SELECT r, count(DISTINCT item_id) AS n_items,
            array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS joined FROM hits GROUP BY r)
