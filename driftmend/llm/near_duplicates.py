@@ -243,11 +243,13 @@ def _cell_links(cells: DataFrame, full: DataFrame, sketch: SetSketch, percent: i
             u, v = u[first], v[first]
             keep, _ = sketch.plausible((marks[u] > marks[v]).sum(axis=1), (marks[u] < marks[v]).sum(axis=1), size[u], size[v], percent / 100)
             u, v = u[keep], v[keep]
+            if not len(u):
+                continue
             if sum(map(len, sets.values())) > 1 << 22:
                 sets.clear()
             for x in {*u.tolist(), *v.tolist()} - sets.keys():
                 sets[x] = _unpacked(packed[x].as_py())
-            begins = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1]))) if len(u) else []
+            begins = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1])))
             for low, high in zip(begins, [*begins[1:], len(u)], strict=True):
                 x, others = u[low], v[low:high]
                 common = _common(sets[x], [sets[y] for y in others.tolist()])
