@@ -164,7 +164,8 @@ def _best_below(support: np.ndarray, room: np.ndarray) -> np.ndarray:
 
 
 def patterns(lengths: np.ndarray, capacity: int, choices: int = 24) -> np.ndarray:
-    """Rows of up to four lengths, 0 where unused, that fill a sequence as well as their last length can."""
+    """Rows of up to four lengths, 0 where unused, that fill a sequence as well as their last length can; the plan uses
+    those that leave at most a five-hundredth of it empty."""
     s = np.sort(lengths)
     picks = lambda n: s[np.unique(np.linspace(0, len(s) - 1, min(n, len(s))).round().astype(np.int64))]
     a2 = s
@@ -222,6 +223,7 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...]
     support = np.flatnonzero(left)
     if len(support):
         rows = patterns(support, capacity)
+        rows = rows[rows.sum(axis=1) >= capacity - capacity // 500]
         x = repeat_counts(rows, left.astype(np.float64))
         used = rows.sum(axis=1)
         for i in np.lexsort((-np.floor(x), -used)):

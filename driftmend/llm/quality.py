@@ -84,7 +84,7 @@ def statistics_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         "distinct_words": distinct / each,
         "repeated_neighbours": total(same) / each,
         "top_word": top / each,
-        "repeated_lines": 1 - line_distinct / np.maximum(line_count, 1),
+        "repeated_lines": (line_count - line_distinct) / np.maximum(line_count, 1),
         "capital_words": total(capitals.astype(np.float64)) / each,
         "marked_words": total(_MARK_END[last].astype(np.float64)) / each,
     }
