@@ -23,10 +23,3 @@ def documents(spark):
 
     return build
 
-
-def pytest_collection_modifyitems(items):
-    # Models are trained on the tables of the smallest scale.
-    missing = not os.path.isdir(os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001"))
-    for item in items:
-        if missing and "tables" in item.keywords:
-            item.add_marker(pytest.mark.skip(reason="the test tables are not here"))
