@@ -38,7 +38,7 @@ BANDS = (24, 32, 48, 96)
 # Chance that an ordinary string changes from one class of character to another at any place.
 CHANGES = 0.08
 # Correlation of neighbours in an ordinary counted or keyboard sequence.
-FOLLOWS = 0.5
+FOLLOWS = 0.8
 STEPS = 8
 
 
