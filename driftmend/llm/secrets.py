@@ -140,7 +140,7 @@ def _limits(tested: DataFrame, rate: float) -> dict[int, int]:
     return limits
 
 
-def secret_spans(docs: DataFrame, rate: float = 0.01) -> DataFrame:
+def secret_spans(docs: DataFrame, rate: float = 0.002) -> DataFrame:
     """(doc_id, digest, kind, start, end) of all secrets, as a written table; kind is a place in KINDS.
 
     start and end count code points, end is exclusive. A random string that lies within a match of a pattern, or
@@ -175,7 +175,7 @@ def _by_document(docs: DataFrame, spans: DataFrame, columns: list[Column]) -> Da
     return own.alias("d").join(listed.alias("s"), key, "left").select("d.*", F.coalesce("s.spans", none).alias("_spans"))
 
 
-def scan(docs: DataFrame, rate: float = 0.01) -> DataFrame:
+def scan(docs: DataFrame, rate: float = 0.002) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random) of each row of ``docs`` (doc_id, text, ...).
 
     Matches of a pattern are the leftmost that do not overlap, an assignment from its keyword to the end of its value.
@@ -198,7 +198,7 @@ def scan(docs: DataFrame, rate: float = 0.01) -> DataFrame:
     )
 
 
-def redacted(docs: DataFrame, mask: str = "[SECRET]", rate: float = 0.01) -> DataFrame:
+def redacted(docs: DataFrame, mask: str = "[SECRET]", rate: float = 0.002) -> DataFrame:
     """``docs`` with every secret of ``text`` replaced by ``mask``; overlapping secrets become one mask."""
     spans = secret_spans(docs, rate)
     rows = _by_document(docs, spans, [F.col(c).alias(f"_c{i}") for i, c in enumerate(docs.columns)])
