@@ -71,7 +71,7 @@ def test_random_strings_are_found_and_ordinary_ones_are_not(spark, documents):
             hits += planted[i] in texts
         else:
             assert not texts, texts
-    assert hits >= 0.95 * len(planted)
+    assert hits >= 0.85 * len(planted)
 
 
 def test_masks(spark, documents):
