@@ -177,7 +177,7 @@ class Memory:
     known: dict[str, Memory] = {}
 
     def __init__(self, languages: int):
-        self.size = max(1000, min(400_000, 4_000_000 // languages))
+        self.size = max(1000, min(200_000, 4_000_000 // languages))
         self.sums = np.zeros((self.size, languages), np.float32)
         self.at: dict[int, int] = {}
 

@@ -56,7 +56,7 @@ class WordTokens:
     other. A file of another kind is given whole texts.
     """
 
-    KEPT = 300_000
+    KEPT = 200_000
     known: dict[str, WordTokens] = {}
 
     def __init__(self, path: str):
@@ -256,18 +256,19 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...]
     return sorted(out.items(), reverse=True)
 
 
-def _slots(chosen: list[tuple[tuple[int, ...], int]]) -> tuple[np.ndarray, ...]:
-    """Runs of places: length, rank of the first piece, its sequence, its offset; sorted by length and rank."""
+def _slots(chosen: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int]]:
+    """Runs of places: length, first rank, rank after the last, sequence of the first piece, offset in each sequence."""
     ranks: dict[int, int] = {}
     rows, sequence = [], 0
     for pattern, n in chosen:
         offset = 0
         for length in pattern:
-            rows.append((length, ranks.get(length, 0), sequence, offset))
-            ranks[length] = ranks.get(length, 0) + n
+            first = ranks.get(length, 0)
+            rows.append((length, first, first + n, sequence, offset))
+            ranks[length] = first + n
             offset += length
         sequence += n
-    return tuple(np.array(sorted(rows), np.int64).reshape(-1, 4).T)
+    return rows
 
 
 GROUP = 100_000
@@ -282,7 +283,8 @@ def packed(pieces_of: DataFrame, capacity: int = 2048) -> DataFrame:
     spark = pieces_of.sparkSession
     rows = staged(pieces_of.withColumn("_draw", F.xxhash64(F.monotonically_increasing_id())), "pieces")
     histogram = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}
-    shared = spark.sparkContext.broadcast(_slots(plan(histogram, capacity)))
+    # As many rows as the plan has lengths, which the capacity bounds.
+    slots = spark.createDataFrame(_slots(plan(histogram, capacity)), "_length long, _low long, _high long, _sequence long, _offset long")
     groups = np.ones(capacity + 1, np.int64)
     for length, n in histogram.items():
         groups[length] = -(-n // GROUP)
@@ -295,24 +297,11 @@ def packed(pieces_of: DataFrame, capacity: int = 2048) -> DataFrame:
     own = Window.partitionBy("length", "_group").orderBy("_draw")
     ranked = dealt.withColumn("_own", F.row_number().over(own) - 1).join(first, ["length", "_group"])
     ranked = ranked.withColumn("_rank", F.col("_own") + F.col("_first")).select(*pieces_of.columns, "_rank")
-    schema = pa.schema([("sequence_id", pa.int64()), ("offset", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        length, rank, sequence, offset = shared.value
-        for batch in batches:
-            own = batch.column("length").to_numpy(), batch.column("_rank").to_numpy()
-            # The last run of the length that begins at or below the rank.
-            order = np.lexsort((np.concatenate((np.zeros(len(rank)), np.ones(len(own[1])))), np.concatenate((rank, own[1])), np.concatenate((length, own[0]))))
-            is_run = order < len(rank)
-            last = np.maximum.accumulate(np.where(is_run, order, -1))
-            at = np.empty(len(own[0]), np.int64)
-            at[order[~is_run] - len(rank)] = last[~is_run]
-            found = pa.record_batch([pa.array(sequence[at] + own[1] - rank[at]), pa.array(offset[at])], schema=schema)
-            kept = batch.drop_columns(["_rank"])
-            yield pa.RecordBatch.from_arrays([*kept.columns, *found.columns], names=[*kept.schema.names, "sequence_id", "offset"])
-
-    result = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces_of.schema.fields)
-    return ranked.mapInArrow(run, f"{result}, sequence_id long, offset long")
+    inside = (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_low")) & (F.col("_rank") < F.col("_high"))
+    placed = ranked.join(F.broadcast(slots), inside)
+    return placed.select(
+        *pieces_of.columns, (F.col("_sequence") + F.col("_rank") - F.col("_low")).alias("sequence_id"), F.col("_offset").alias("offset")
+    )
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0) -> DataFrame:
