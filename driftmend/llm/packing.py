@@ -9,8 +9,6 @@ corpus. Each piece then finds its place by its rank among the pieces of its leng
 from __future__ import annotations
 
 import json
-import re
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from driftmend.llm.texts import NOT_BLANK, pieces, words_of
+from driftmend.llm.texts import LOWER, NOT_BLANK, Words, pieces, words_of
 from driftmend.sources.sinks import staged
 
 # What a tokenizer file must say for its words to be tokenized one by one (fixed values of a public format).
@@ -31,15 +29,12 @@ _NORMALIZERS = [
 ]
 
 
-def _latin(kind: str) -> str:
-    return "".join(re.escape(chr(c)) for c in range(256) if unicodedata.category(chr(c))[0] == kind)
-
-
-# The same split for texts of the first 256 characters, which are in normal form already.
-_LATIN_SPLIT = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d|[{_latin('L')}]+|[{_latin('N')}]|[^\t-\r \x85\xa0{_latin('L')}{_latin('N')}]+"
-)
-_NOT_LATIN = re.compile("[^\x00-\xff]|<\\|")
+_BLANK, _LETTER, _DIGIT, _SIGN = range(4)
+_KINDS = np.full(256, _SIGN, np.uint8)
+_KINDS[~NOT_BLANK] = _BLANK
+_KINDS[0x61:0x7B] = _LETTER
+_KINDS[0x80:] = _LETTER
+_KINDS[0x30:0x3A] = _DIGIT
 
 
 def _byte_letters() -> dict[int, str]:
@@ -73,7 +68,7 @@ class WordTokens:
         )
         self.letters = _byte_letters()
         self.memory: dict[bytes, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.runs: dict[bytes, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> WordTokens:
@@ -84,28 +79,24 @@ class WordTokens:
     def text(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _run(self, run: str) -> bytes:
+    def _keep(self, memory: dict[bytes, bytes], key: bytes, ids: bytes) -> bytes:
+        if len(memory) >= self.KEPT:
+            memory.clear()
+        memory[key] = ids
+        return ids
+
+    def run(self, run: bytes) -> bytes:
+        """Ids of lower-case letters, of one digit or of signs, which the file never splits before its merges."""
         found = self.runs.get(run)
         if found is None:
-            letters = run.encode("utf-8").decode("latin-1").translate(self.letters)
-            found = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
-            if len(self.runs) >= self.KEPT:
-                self.runs.clear()
-            self.runs[run] = found
+            letters = run.decode("latin-1").translate(self.letters)
+            found = self._keep(self.runs, run, np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes())
         return found
 
     def word(self, word: bytes) -> bytes:
+        """Ids of a word with characters that the file treats in a way of its own."""
         found = self.memory.get(word)
-        if found is None:
-            text = word.decode("utf-8")
-            if _NOT_LATIN.search(text):
-                found = self.text(text)
-            else:
-                found = b"".join(map(self._run, _LATIN_SPLIT.findall(text.lower())))
-            if len(self.memory) >= self.KEPT:
-                self.memory.clear()
-            self.memory[word] = found
-        return found
+        return self._keep(self.memory, word, self.text(word.decode("utf-8"))) if found is None else found
 
     def rows(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
         """The ids of each text of a piece."""
@@ -113,20 +104,50 @@ class WordTokens:
             for a, b in zip(offsets[:-1], offsets[1:], strict=True):
                 yield np.frombuffer(self.text(data[a:b].tobytes().decode("utf-8")), "<u4")
             return
-        words = words_of(data, offsets, NOT_BLANK)
-        _, first, back = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        each = [self.word(words.text(i)) for i in first.tolist()]
+        units, odd = _units(data, offsets)
+        _, first, back = np.unique(units.hashes(), return_index=True, return_inverse=True)
+        own = units.data.tobytes()
+        known = zip(units.starts[first].tolist(), units.ends[first].tolist(), odd[first].tolist(), strict=True)
+        each = [self.word(own[a:b]) if o else self.run(own[a:b]) for a, b, o in known]
         sizes = np.array([len(e) // 4 for e in each], np.int64)
         flat = np.frombuffer(b"".join(each), "<u4")
         begins = np.cumsum(sizes) - sizes
         length = sizes[back]
         upto = np.concatenate(([0], np.cumsum(length)))
         ids = flat[np.repeat(begins[back] - upto[:-1], length) + np.arange(upto[-1])]
-        ends = upto[words.bounds]
+        ends = upto[units.bounds]
         for a, b in zip(ends[:-1], ends[1:], strict=True):
             yield ids[a:b]
 
 
+def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
+    """What is tokenized by itself, and which of it are whole words.
+
+    Words of ASCII and of the letters from U+00C0 to U+00FF, without apostrophes and angle brackets, are lower-cased and
+    cut into runs of letters, single digits and runs of signs. All others stay whole and as they are.
+    """
+    before = np.concatenate(([0], data[:-1])).astype(np.uint8) if len(data) else data
+    lead, tail = data == 0xC3, (before == 0xC3) & (data != 0x97) & (data != 0xB7)
+    low = LOWER[data]
+    low[tail & (data <= 0x9E)] += 0x20
+    strange = ((data >= 0x80) & ~lead & ~tail) | (data == 0x27) | (data == 0x3C)
+    words = words_of(data, offsets, NOT_BLANK)
+    counts = np.concatenate(([0], np.cumsum(strange)))
+    whole = counts[words.ends] > counts[words.starts]
+    change = np.zeros(len(data) + 1, np.int8)
+    change[words.starts[whole]] += 1
+    np.add.at(change, words.ends[whole], -1)
+    within = np.cumsum(change[:-1]) > 0
+    kind = _KINDS[low]
+    begins = np.zeros(len(data), bool)
+    begins[1:] = ~within[1:] & ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)) & (kind[1:] != _BLANK)
+    begins[words.starts] = True
+    starts = np.flatnonzero(begins)
+    ends = words.ends[np.searchsorted(words.starts, starts, "right") - 1] if len(starts) else starts
+    ends[:-1] = np.minimum(ends[:-1], starts[1:])
+    return Words(np.where(within, data, low), starts, ends, np.searchsorted(starts, offsets)), within[starts]
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0) -> DataFrame:
     """(doc_id, piece, start, length, ids) of each document: its token ids and then ``end``, cut every ``capacity``.
 
