@@ -153,8 +153,31 @@ SELECT coalesce(t.o_custkey, g.o_custkey) AS o_custkey,
 FROM t FULL JOIN g ON t.o_custkey = g.o_custkey""")
 def row_diff_repeated_keys(t: Tables) -> DataFrame:
     """A column with several rows per value taken for a key."""
-    orders = t.orders.select("o_orderkey", "o_custkey")
-    return _listed(dm.row_diff(orders, orders.where(F.col("o_custkey") % 3 != 0), ["o_custkey"]))
+    return _listed(dm.row_diff(t.orders, t.orders.where(F.col("o_custkey") % 3 != 0), ["o_custkey"]))
+
+
+# Values whose common type must hold both: 2^53 and more as bigint and double, wide and fine decimals, days and instants.
+@query("""SELECT o_orderkey,
+  CASE WHEN o_orderkey % 10 = 0 OR o_orderkey % 2 = 1 OR o_orderkey % 4 = 0 THEN 'changed' ELSE 'same' END AS status,
+  concat_ws(',', CASE WHEN o_orderkey % 10 = 0 THEN 'exact' END, CASE WHEN o_orderkey % 2 = 1 THEN 'large' END,
+            CASE WHEN o_orderkey % 4 = 0 THEN 'day' END) AS changed_cols FROM orders""")
+def row_diff_unlike_types(t: Tables) -> DataFrame:
+    key, power = F.col("o_orderkey"), F.lit(2**53)
+    day = F.to_date("o_orderdate")
+    target = t.orders.select(
+        "o_orderkey", F.col("o_custkey").alias("exact"), (power + key).alias("large"), F.col("o_custkey").cast("decimal(38,0)").alias("wide"),
+        day.alias("day"), F.lit("10000000000000000000000000").cast("decimal(38,0)").alias("huge"),
+    )
+    odd = F.when(key % 10 == 0, F.lit("0.5")).otherwise(F.lit("0")).cast("decimal(30,2)")
+    given = t.orders.select(
+        "o_orderkey",
+        (F.col("o_custkey").cast("decimal(20,0)") + odd).cast("decimal(30,2)").alias("exact"),
+        (power + key - key % 2).cast("double").alias("large"),
+        F.col("o_custkey").cast("decimal(38,18)").alias("wide"),
+        (day.cast("timestamp_ntz") + F.when(key % 4 == 0, F.expr("INTERVAL 1 HOUR")).otherwise(F.expr("INTERVAL 0 HOUR"))).alias("day"),
+        F.lit("10000000000000000000000000").cast("decimal(30,2)").alias("huge"),
+    )
+    return _listed(dm.row_diff(target, given, ORDER_KEY))
 
 
 _STATUSES = ("missing_in_given", "only_in_given", "changed", "same")
@@ -170,11 +193,25 @@ def status_counts(t: Tables) -> DataFrame:
 
 @query(f"""WITH {GIVEN_ORDERS}
 SELECT o_orderkey, 'o_orderstatus' AS column_name, t.o_orderstatus AS target_value, g.o_orderstatus AS given_value
-FROM orders t JOIN given_orders g USING (o_orderkey) WHERE t.o_orderstatus IS DISTINCT FROM g.o_orderstatus""")
+FROM orders t JOIN given_orders g USING (o_orderkey) WHERE t.o_orderstatus IS DISTINCT FROM g.o_orderstatus
+UNION ALL
+SELECT o_orderkey, 'o_totalprice', CAST(CAST(t.o_totalprice AS DECIMAL(18,2)) AS VARCHAR), CAST(CAST(g.o_totalprice AS DECIMAL(18,2)) AS VARCHAR)
+FROM orders t JOIN given_orders g USING (o_orderkey) WHERE t.o_totalprice IS DISTINCT FROM g.o_totalprice""")
 def conflicts(t: Tables) -> DataFrame:
-    """Differing cells of the columns whose text form is the same everywhere."""
-    left, right = (df.drop("o_totalprice") for df in (t.orders, t.given_orders()))
-    return dm.conflicts(left, right, ORDER_KEY).withColumnRenamed("column", "column_name")
+    """All differing cells; prices are shown with two decimals, as engines spell doubles in their own ways."""
+    found = dm.conflicts(t.orders, t.given_orders(), ORDER_KEY)
+    price = F.col("column") == "o_totalprice"
+    shown = {c: F.when(price, F.col(c).cast("double").cast("decimal(18,2)").cast("string")).otherwise(F.col(c)) for c in ("target_value", "given_value")}
+    return found.withColumns(shown).withColumnRenamed("column", "column_name")
+
+
+@query("""WITH g AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY o_custkey)
+SELECT o_custkey, CAST(NULL AS VARCHAR) AS column_name, concat(count(*), ' rows') AS target_value, concat(any_value(n), ' rows') AS given_value
+FROM orders JOIN g USING (o_custkey) GROUP BY o_custkey HAVING count(*) > 1""")
+def conflicts_repeated_keys(t: Tables) -> DataFrame:
+    """A column with several rows per value taken for a key: one row for each such key that both sides have."""
+    found = dm.conflicts(t.orders, t.orders.where(F.col("o_orderkey") % 3 != 0), ["o_custkey"])
+    return found.withColumnRenamed("column", "column_name")
 
 
 @query(f"""WITH {GIVEN_ORDERS}
@@ -189,44 +226,40 @@ def conflict_cells(t: Tables) -> DataFrame:
 
 
 _SIDES = ", ".join(f"{side}.{c} AS {name}_{c}" for name, side in (("before", "g"), ("after", "t")) for c in ORDER_VALUES)
-_LOG = f"""SELECT coalesce(t.o_orderkey, g.o_orderkey) AS o_orderkey,
+LOG = f"""SELECT coalesce(t.o_orderkey, g.o_orderkey) AS o_orderkey,
        CASE WHEN g.o_orderkey IS NULL THEN 'insert' WHEN t.o_orderkey IS NULL THEN 'delete' ELSE 'update' END AS op, {_SIDES}
 FROM orders t FULL JOIN given_orders g ON t.o_orderkey = g.o_orderkey
 WHERE t.o_orderkey IS NULL OR g.o_orderkey IS NULL OR {differing(ORDER_VALUES)}"""
 
 
-def _flat(log: DataFrame) -> DataFrame:
+def flat_log(log: DataFrame) -> DataFrame:
     return log.select(
         "o_orderkey", "op", *[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in ("before", "after") for c in ORDER_VALUES]
     )
 
 
-@query(f"WITH {GIVEN_ORDERS} {_LOG}")
+@query(f"WITH {GIVEN_ORDERS} {LOG}")
 def change_log(t: Tables) -> DataFrame:
-    return _flat(dm.change_log(t.orders, t.given_orders(), ORDER_KEY))
+    return flat_log(dm.change_log(t.orders, t.given_orders(), ORDER_KEY))
 
 
-@query(f"WITH {GIVEN_ORDERS} SELECT * FROM ({_LOG}) WHERE op <> 'delete'")
+@query(f"WITH {GIVEN_ORDERS} SELECT * FROM ({LOG}) WHERE op <> 'delete'")
 def change_log_upsert(t: Tables) -> DataFrame:
-    return _flat(dm.change_log(t.orders, t.given_orders(), ORDER_KEY, primary_key=True, ops=("insert", "update")))
+    return flat_log(dm.change_log(t.orders, t.given_orders(), ORDER_KEY, primary_key=True, ops=("insert", "update")))
 
 
-@query("""WITH t AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL),
-g AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem WHERE l_partkey % 9 <> 0 GROUP BY ALL)
-SELECT l_orderkey, l_linenumber, coalesce(t.n, 0) AS n_target, coalesce(g.n, 0) AS n_given
-FROM t FULL JOIN g USING (l_orderkey, l_linenumber) WHERE coalesce(t.n, 0) <> coalesce(g.n, 0)""")
+@query("""SELECT *, count(*) AS n_target, CAST(0 AS BIGINT) AS n_given FROM lineitem WHERE l_partkey % 9 = 0 GROUP BY ALL""")
 def bag_diff(t: Tables) -> DataFrame:
-    return dm.bag_diff(t.lineitem.select("l_orderkey", "l_linenumber"), t.given_lines())
+    return dm.bag_diff(t.lineitem, t.given_lines())
 
 
-@query("""SELECT * FROM (SELECT l_orderkey, l_linenumber FROM lineitem
-  EXCEPT ALL SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_partkey % 9 <> 0)""")
+@query("SELECT * FROM (FROM lineitem EXCEPT ALL FROM lineitem WHERE l_partkey % 9 <> 0)")
 def bag_diff_rows(t: Tables) -> DataFrame:
     """The surplus rows of target, each as often as it is surplus."""
-    found = dm.bag_diff(t.lineitem.select("l_orderkey", "l_linenumber"), t.given_lines())
+    found = dm.bag_diff(t.lineitem, t.given_lines())
     surplus = (F.col("n_target") - F.col("n_given")).cast("int")
     repeated = found.where(surplus > 0).withColumn("_copy", F.explode(F.array_repeat(F.lit(1), surplus)))
-    return repeated.select("l_orderkey", "l_linenumber")
+    return repeated.select(t.lineitem.columns)
 
 
 @query(f"WITH {GIVEN_ORDERS} {_CHANGED_ORDERS}")
@@ -239,10 +272,16 @@ def bucket_diff_text(t: Tables) -> DataFrame:
     return _listed(dm.bucket_diff(t.documents, t.given_documents(), ["doc_id"], primary_key=True))
 
 
-@query("SELECT count(*) AS n_rows FROM orders")
+@query("""SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_unlike_itself, true AS differs_from_given FROM orders""")
 def bucket_digest(t: Tables) -> DataFrame:
-    """The digests themselves have no twin in SQL; their row counts must add up."""
-    return dm.bucket_digest(t.orders, ORDER_KEY, 256).agg(F.sum("n_rows").alias("n_rows"))
+    """The digests themselves have no twin in SQL: those of the same rows read in another order are the same, and those
+    of rows altered in one column only are not."""
+    digests = dm.bucket_digest(t.orders, ORDER_KEY, 256)
+    again = dm.bucket_digest(t.orders.repartition(7, "o_custkey"), ORDER_KEY, 256)
+    altered = t.orders.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 11 != 0, F.col("o_totalprice")))
+    unlike = dm.differing_buckets(digests, again).agg(F.count("*")).scalar()
+    differs = dm.differing_buckets(digests, dm.bucket_digest(altered, ORDER_KEY, 256)).exists()
+    return digests.agg(F.sum("n_rows").alias("n_rows")).select("n_rows", unlike.alias("n_unlike_itself"), differs.alias("differs_from_given"))
 
 
 @query(f"WITH {GIVEN_ORDERS} SELECT o_orderkey, status FROM ({_ORDER_DIFF})")

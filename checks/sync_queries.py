@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +17,8 @@ from checks.catalog_queries import (
     TYPE_MISMATCHES,
 )
 from checks.registry import query
-from checks.sql import GIVEN_CONVERSATIONS, GIVEN_EVENTS, GIVEN_ORDERS, ORDER_COLUMNS, ORDER_VALUES, differing, union_all
+from checks.row_queries import LOG, flat_log
+from checks.sql import GIVEN_CONVERSATIONS, GIVEN_EVENTS, GIVEN_ORDERS, ORDER_COLUMNS, ORDER_VALUES, union_all
 from checks.tables import LOOKBACK, Tables
 from driftmend.sources.sinks import work_folder
 
@@ -37,9 +40,13 @@ def sync_upsert(t: Tables) -> DataFrame:
     return dm.sync(t.orders, t.given_orders(), ORDER_KEY, mode="upsert")
 
 
-@query(f"SELECT {_ALL} FROM orders")
+@query(f"""WITH {GIVEN_ORDERS} SELECT 'state' AS part, {_ALL} FROM orders
+UNION ALL SELECT 'delete' AS part, * FROM ({_ONLY_GIVEN})""")
 def sync_mirror(t: Tables) -> DataFrame:
-    return dm.sync(t.orders, t.given_orders(), ORDER_KEY, mode="mirror")
+    """The mirrored state, and the rows of given it removes."""
+    state = dm.sync(t.orders, t.given_orders(), ORDER_KEY, mode="mirror")
+    gone = dm.rows_to_delete(t.orders, t.given_orders(), ORDER_KEY)
+    return state.withColumn("part", F.lit("state")).unionByName(gone.withColumn("part", F.lit("delete")))
 
 
 @query(f"WITH {GIVEN_ORDERS} {_NOT_GIVEN}")
@@ -52,12 +59,36 @@ def rows_to_delete(t: Tables) -> DataFrame:
     return dm.rows_to_delete(t.orders, t.given_orders(), ORDER_KEY)
 
 
-@query("""SELECT o_custkey, o_orderkey FROM orders WHERE o_custkey % 3 <> 0
-UNION ALL SELECT o_custkey, o_orderkey FROM orders WHERE o_custkey % 3 = 0""")
+@query(f"SELECT {_ALL} FROM orders")
 def sync_repeated_keys(t: Tables) -> DataFrame:
     """A column with several rows per value taken for a key: every row comes through."""
-    orders = t.orders.select("o_custkey", "o_orderkey")
-    return dm.sync(orders, orders.where(F.col("o_custkey") % 3 != 0), ["o_custkey"])
+    return dm.sync(t.orders, t.orders.where(F.col("o_custkey") % 3 != 0), ["o_custkey"])
+
+
+def _applied(t: Tables, mode: str, key: str) -> DataFrame:
+    """Given with a run's change log applied to it, row by row."""
+    given = t.given_orders()
+    run = dm.run_sync(t.orders, given, [key], work_folder(t.spark, "sync"), mode=mode)
+    log = t.spark.read.parquet(run.changes)
+    gone = log.where("before IS NOT NULL").select(key, "before.*").select(given.columns)
+    come = log.where("after IS NOT NULL").select(key, "after.*").select(given.columns)
+    return given.exceptAll(gone).unionByName(come)
+
+
+@query(f"SELECT {_ALL} FROM orders")
+def mirror_log_applied_repeated_keys(t: Tables) -> DataFrame:
+    return _applied(t, "mirror", "o_custkey")
+
+
+@query(f"""WITH {GIVEN_ORDERS} SELECT {_ALL} FROM orders UNION ALL
+SELECT {_ALL} FROM given_orders g WHERE NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_custkey = g.o_custkey)""")
+def upsert_log_applied_repeated_keys(t: Tables) -> DataFrame:
+    return _applied(t, "upsert", "o_custkey")
+
+
+@query(_INSERTED)
+def insert_log_applied(t: Tables) -> DataFrame:
+    return _applied(t, "insert_missing", "o_orderkey")
 
 
 @query(_INSERTED)
@@ -72,22 +103,11 @@ def run_sync_upsert(t: Tables) -> DataFrame:
     return t.spark.read.parquet(run.state)
 
 
-@query(f"""WITH {GIVEN_ORDERS}
-SELECT coalesce(t.o_orderkey, g.o_orderkey) AS o_orderkey,
-       CASE WHEN g.o_orderkey IS NULL THEN 'insert' WHEN t.o_orderkey IS NULL THEN 'delete' ELSE 'update' END AS op,
-       g.o_totalprice AS before_price, t.o_totalprice AS after_price
-FROM orders t FULL JOIN given_orders g ON t.o_orderkey = g.o_orderkey
-WHERE t.o_orderkey IS NULL OR g.o_orderkey IS NULL OR {differing(ORDER_VALUES)}""")
+@query(f"WITH {GIVEN_ORDERS} {LOG}")
 def run_sync_changes(t: Tables) -> DataFrame:
     """The change log a mirror leaves behind."""
     run = dm.run_sync(t.orders, t.given_orders(), ORDER_KEY, work_folder(t.spark, "sync"), mode="mirror")
-    log = t.spark.read.parquet(run.changes)
-    return log.select(
-        "o_orderkey",
-        "op",
-        F.col("before.o_totalprice").alias("before_price"),
-        F.col("after.o_totalprice").alias("after_price"),
-    )
+    return flat_log(t.spark.read.parquet(run.changes))
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -231,11 +251,12 @@ def map_schema(t: Tables) -> DataFrame:
     return _mapped(t)[0]
 
 
-@query(f"""SELECT 'ORDER_ID' AS column_name, count(o_orderkey) AS n_values, CAST(0 AS BIGINT) AS n_lost FROM orders
-UNION ALL SELECT 'o_custkey', count(o_custkey), 0 FROM orders
-UNION ALL SELECT 'o_totalprice', count(o_totalprice), 0 FROM orders
-UNION ALL SELECT 'priority', count(o_orderpriority), 0 FROM orders
-UNION ALL SELECT 'reference', count(*), count(*) - count(TRY_CAST({_REFERENCE} AS BIGINT)) FROM orders""")
+@query(f"""SELECT 'ORDER_ID' AS column_name, count(o_orderkey) AS n_values, CAST(0 AS BIGINT) AS n_lost, CAST(0 AS BIGINT) AS n_changed FROM orders
+UNION ALL SELECT 'o_custkey', count(o_custkey), 0, 0 FROM orders
+UNION ALL SELECT 'o_totalprice', count(o_totalprice), 0,
+  count(*) FILTER (WHERE CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DOUBLE) <> o_totalprice) FROM orders
+UNION ALL SELECT 'priority', count(o_orderpriority), 0, 0 FROM orders
+UNION ALL SELECT 'reference', count(*), count(*) - count(TRY_CAST({_REFERENCE} AS BIGINT)), 0 FROM orders""")
 def cast_loss(t: Tables) -> DataFrame:
     return _mapped(t)[1].withColumnRenamed("column", "column_name")
 
@@ -403,3 +424,24 @@ _METRICS = union_all(
 @query(f"{_GIVEN} {_METRICS}")
 def audit_metrics(t: Tables) -> DataFrame:
     return dm.audit_metrics(t.audited(), t.drifted()).withColumnRenamed("table", "table_name")
+
+
+def _broken(t: Tables) -> DataFrame:
+    """The audit of keys with a table of orders that cannot be read to its end."""
+    given = t.drifted()
+    name = given.find("orders")
+    failing = given.tables[name].withColumn("o_orderkey", F.when(F.col("o_orderkey") > 100, F.raise_error(F.lit("broken file")).cast("bigint")).otherwise(F.col("o_orderkey")))
+    return _shown(dm.audit(t.audited(), replace(given, tables=given.tables | {name: failing}), "broken", checks=("rows",)))
+
+
+@query(_findings([*_UNSYNCED[1:], *_KEYLESS], "broken"))
+def audit_with_a_broken_table(t: Tables) -> DataFrame:
+    """A table whose reading fails while the audit runs is one finding, and those of all other tables are there."""
+    found = _broken(t)
+    return found.where("table_name <> 'orders'")
+
+
+@query("SELECT 'orders' AS table_name, 'table_error' AS kind, true AS told FROM (SELECT count(*) FROM orders)")
+def broken_table_is_told(t: Tables) -> DataFrame:
+    found = _broken(t)
+    return found.where("lower(table_name) = 'orders'").select("table_name", "kind", (F.length("message") > 0).alias("told"))

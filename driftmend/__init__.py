@@ -41,7 +41,7 @@ from driftmend.sources.catalog import (
 from driftmend.sources.contract import Namespace, Reference, TableContract
 from driftmend.sources.readers import read_database, read_files, read_jdbc
 from driftmend.sources.sinks import copy_table, write_findings
-from driftmend.streaming.arrivals import read_arrivals, stream_sync, synced_state
+from driftmend.streaming.arrivals import late_rows, read_arrivals, rejected_rows, stream_sync, synced_state
 
 __all__ = [
     "Catalog",
@@ -62,6 +62,7 @@ __all__ = [
     "incremental_sync",
     "key_presence",
     "key_profile",
+    "late_rows",
     "list_columns",
     "list_foreign_keys",
     "list_primary_keys",
@@ -78,6 +79,7 @@ __all__ = [
     "read_database",
     "read_files",
     "read_jdbc",
+    "rejected_rows",
     "reverse_check",
     "row_diff",
     "row_pairs",

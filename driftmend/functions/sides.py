@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftmend.functions.names import col, cols, resolve
-from driftmend.functions.types import common_key_type, common_type
+from driftmend.functions.types import as_common, common_key_type, common_type
 
 
 @dataclass(frozen=True)
@@ -41,8 +41,8 @@ def align(target: DataFrame, given: DataFrame, keys: Sequence[str], values: Sequ
         a, b = target.schema[ours].dataType, given.schema[their].dataType
         dtype = common_key_type(a, b) if i < len(keys) else common_type(a, b)
         types[ours] = dtype
-        left.append(col(ours) if a == dtype else col(ours).cast(dtype).alias(ours))
-        right.append((col(their) if b == dtype else col(their).cast(dtype)).alias(ours))
+        left.append(col(ours) if a == dtype else as_common(col(ours), a, dtype).alias(ours))
+        right.append(as_common(col(their), b, dtype).alias(ours))
     return Sides(target.select(*left), given.select(*right), list(keys), list(values), types)
 
 

@@ -30,6 +30,7 @@ FAMILIES: dict[type, str] = {
 
 _INTEGRAL = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
 _FLOATING = (T.FloatType, T.DoubleType)
+_TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def family(dtype: T.DataType) -> str:
@@ -38,28 +39,50 @@ def family(dtype: T.DataType) -> str:
 
 
 def common_type(left: T.DataType, right: T.DataType) -> T.DataType:
-    """The type two cells are compared in. Unlike types without a numeric common type meet as text."""
+    """The type two cells are compared in: one that holds every value of both, or else text.
+
+    Numbers without such a type meet as plain digits (see :func:`as_common`), so that equal ones are equal;
+    a date is compared with a timestamp as its first instant.
+    """
     if left == right:
         return left
     if type(left) in _INTEGRAL and type(right) in _INTEGRAL:
         return max(left, right, key=lambda t: _INTEGRAL.index(type(t)))
-    if isinstance(left, T.DecimalType) and isinstance(right, T.DecimalType):
-        scale = max(left.scale, right.scale)
-        whole = max(left.precision - left.scale, right.precision - right.scale)
-        if whole + scale <= 38:
-            return T.DecimalType(whole + scale, scale)
-        return T.StringType()
     numeric = (*_INTEGRAL, *_FLOATING, T.DecimalType)
     if isinstance(left, numeric) and isinstance(right, numeric):
         if isinstance(left, _FLOATING) or isinstance(right, _FLOATING):
-            return T.DoubleType()
-        decimal = left if isinstance(left, T.DecimalType) else right
-        return T.DecimalType(min(38, 19 + decimal.scale), decimal.scale)
+            # A double holds every value but those of bigint; decimals are compared at a double's precision.
+            return T.StringType() if T.LongType() in (left, right) else T.DoubleType()
+        wide = [_as_decimal(t) for t in (left, right)]
+        scale = max(t.scale for t in wide)
+        whole = max(t.precision - t.scale for t in wide)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.StringType()
+    if isinstance(left, _TIMES) and isinstance(right, _TIMES):
+        return T.TimestampType() if T.TimestampType() in (left, right) else T.TimestampNTZType()
     if family(left) == family(right) and family(left) in ("array", "struct", "map"):
         raise ValueError(f"cannot compare {left.simpleString()} with {right.simpleString()}; map the schema first")
     return T.StringType()
 
 
+def _as_decimal(dtype: T.DataType) -> T.DecimalType:
+    # Digits of the largest value of each integral type.
+    return dtype if isinstance(dtype, T.DecimalType) else T.DecimalType((3, 5, 10, 19)[_INTEGRAL.index(type(dtype))], 0)
+
+
+def as_common(value: Column, dtype: T.DataType, common: T.DataType) -> Column:
+    """``value`` in the type found by :func:`common_type`; numbers that become text in one spelling each."""
+    if dtype == common:
+        return value
+    if isinstance(common, T.StringType):
+        if isinstance(dtype, T.DecimalType) and dtype.scale > 0:
+            return F.regexp_replace(value.cast("string"), "\\.?0+$", "")
+        if isinstance(dtype, _FLOATING):
+            wide = value.cast("double")
+            whole = (wide == F.floor(wide)) & (wide >= -(2.0**63)) & (wide < 2.0**63)
+            return F.when(whole, wide.cast("bigint").cast("string")).otherwise(value.cast("string"))
+    return value.cast(common)
+
+
 def common_key_type(left: T.DataType, right: T.DataType) -> T.DataType:
     """As :func:`common_type`, but keys must widen without loss."""
     dtype = common_type(left, right)
@@ -110,16 +133,3 @@ def canonical(value: Column, dtype: T.DataType) -> Column:
         return value + F.lit(0.0).cast(dtype)
     return value
 
-
-def lowest(dtype: T.DataType) -> Column:
-    """A value no other value of the type lies below: the mark of an empty side."""
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.lit("0001-01-01").cast(dtype)
-    if isinstance(dtype, _FLOATING):
-        return F.lit(float("-inf")).cast(dtype)
-    if type(dtype) in _INTEGRAL:
-        bits = 8 * 2 ** _INTEGRAL.index(type(dtype))
-        return F.lit(-(2 ** (bits - 1))).cast(dtype)
-    if isinstance(dtype, T.DecimalType):
-        return F.lit("-" + "9" * (dtype.precision - dtype.scale) + "." + "9" * dtype.scale).cast(dtype)
-    raise ValueError(f"a progress column cannot be of type {dtype.simpleString()}")

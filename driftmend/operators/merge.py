@@ -7,10 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from driftmend.functions.names import col, cols, resolve
 from driftmend.functions.sides import Sides, keep_by_key
+from driftmend.functions.types import comparable
 from driftmend.operators.rows import pair_sides
 from driftmend.operators.sync import same_shape
 
@@ -104,12 +104,11 @@ def _fill_nulls(sides: Sides) -> DataFrame:
         gap = gap | col(v).isNull()
     complete, gaps = sides.target.where(~gap), sides.target.where(gap)
     wanted = keep_by_key(sides.given, gaps, sides.keys, "left_semi")
-    theirs = wanted.groupBy(*[col(k).alias(f"_key_{i}") for i, k in enumerate(sides.keys)]).agg(
-        *[
-            (F.any_value(col(v), ignoreNulls=True) if _unordered(sides.types[v]) else F.min(col(v))).alias(f"_fill_{i}")
-            for i, v in enumerate(fillable)
-        ]
-    )
+    # All of a row's gaps are filled from one row of given: the least, where a key has several.
+    row = F.struct(*[col(v).alias(f"_fill_{i}") for i, v in enumerate(fillable)])
+    form = F.struct(*[comparable(col(v), sides.types[v]).alias(f"_form_{i}") for i, v in enumerate(fillable)])
+    theirs = wanted.groupBy(*[col(k).alias(f"_key_{i}") for i, k in enumerate(sides.keys)]).agg(F.min_by(row, form).alias("_row"))
+    theirs = theirs.select(*[f"_key_{i}" for i in range(len(sides.keys))], "_row.*")
     same = [col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(sides.keys)]
     at = {v: i for i, v in enumerate(fillable)}
     filled = gaps.join(theirs, on=reduce(Column.__and__, same), how="left").select(
@@ -118,6 +117,3 @@ def _fill_nulls(sides: Sides) -> DataFrame:
     )
     return complete.select(*cols(filled.columns)).unionByName(filled).unionByName(added)
 
-
-def _unordered(dtype: T.DataType) -> bool:
-    return isinstance(dtype, (T.MapType, T.StructType, T.ArrayType))

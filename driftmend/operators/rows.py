@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from driftmend.functions.display import cell_text
 from driftmend.functions.names import col, cols, reserve
-from driftmend.functions.sides import Sides, align
+from driftmend.functions.sides import Sides, align, keep_by_key
 from driftmend.functions.types import comparable, has_map
 
 # What can be said of a key.
@@ -136,17 +136,21 @@ def status_counts(target: DataFrame, given: DataFrame, keys: Sequence[str], prim
 def conflicts(target: DataFrame, given: DataFrame, keys: Sequence[str], primary_key: bool = False) -> DataFrame:
     """One row per differing cell of the keys on both sides: ``column``, ``target_value``, ``given_value`` as text.
 
-    A key with several rows on a side is left to :func:`row_diff` and :func:`bag_diff`.
+    A key on both sides with several rows on one has no cells to pair: it comes as one row without a ``column``,
+    its values being the numbers of rows. :func:`bag_diff` and :func:`change_log` tell which rows differ.
     """
     sides = align(target, given, keys)
     reserve(sides.keys, "column", "target_value", "given_value")
     if not sides.values:
         raise ValueError("the two sides share no columns besides the key")
     one_each = (F.col("n_target") == 1) & (F.col("n_given") == 1)
-    pairs = pair_sides(sides, primary_key).where(one_each & rows_differ(sides))
-    cells = [
+    repeated = (F.col("n_target") > 0) & (F.col("n_given") > 0) & ~one_each
+    pairs = pair_sides(sides, primary_key).where(repeated | (one_each & rows_differ(sides)))
+    n_rows = lambda n: F.concat(F.col(n).cast("string"), F.lit(" rows"))
+    numbers = F.struct(F.lit(None).cast("string").alias("column"), n_rows("n_target").alias("target_value"), n_rows("n_given").alias("given_value"))
+    cells = [F.when(repeated, numbers)] + [
         F.when(
-            _differs(sides, v),
+            one_each & _differs(sides, v),
             F.struct(
                 F.lit(v).alias("column"),
                 cell_text(F.col("target_row").getField(v), sides.types[v]).alias("target_value"),
@@ -167,30 +171,48 @@ def change_log(
 ) -> DataFrame:
     """What makes given equal target, row by row: ``op``, the row ``before`` (given) and ``after`` (target).
 
-    A key with several rows on a side has no single before and after: it comes as op ``duplicate_key``
-    with both NULL, whatever ``ops`` says, so that it cannot pass for in sync.
+    A key with several rows on a side has no single before and after: its surplus rows of given are
+    deletes and its surplus rows of target inserts, each as often as it is surplus. So applying the log
+    to given gives target whatever the keys. With some ``ops`` only, keys of target that given lacks are
+    ``insert``, keys on both sides ``update`` and keys only given has ``delete``.
     """
     sides = align(target, given, keys)
     reserve(sides.keys, "op", "before", "after")
-    # The operation each status calls for. No key that is the same gets this far.
-    op = (
-        F.when(F.greatest("n_target", "n_given") > 1, "duplicate_key")
-        .when(F.col("n_given") == 0, "insert")
-        .when(F.col("n_target") == 0, "delete")
-        .otherwise("update")
+    pairs = pair_sides(sides, primary_key).where(_not_same(sides))
+    single = paired_changes(sides, pairs.where(F.greatest("n_target", "n_given") <= 1)).where(F.col("op").isin(*ops))
+    if primary_key:
+        return single
+    ours = sides.target.select(*cols(sides.keys), F.lit(1).alias("n_target"), F.lit(0).alias("n_given"))
+    theirs = sides.given.select(*cols(sides.keys), F.lit(0).alias("n_target"), F.lit(1).alias("n_given"))
+    counts = ours.unionByName(theirs).groupBy(*cols(sides.keys)).agg(F.sum("n_target").alias("n_target"), F.sum("n_given").alias("n_given"))
+    return single.unionByName(surplus_rows(sides, counts.where(F.greatest("n_target", "n_given") > 1), ops))
+
+
+def paired_changes(sides: Sides, pairs: DataFrame) -> DataFrame:
+    """The log of keys with at most one row on each side, given those of :func:`pair_sides` that differ."""
+    # The operation each status calls for.
+    op = F.when(F.col("n_given") == 0, "insert").when(F.col("n_target") == 0, "delete").otherwise("update")
+    return pairs.select(*cols(sides.keys), op.alias("op"), F.col("given_row").alias("before"), F.col("target_row").alias("after"))
+
+
+def surplus_rows(sides: Sides, repeated: DataFrame, ops: Sequence[str]) -> DataFrame:
+    """The log of the keys ``repeated`` (keys, n_target, n_given): rows that one side has more often than the other."""
+    allowed = F.when(F.col("n_given") == 0, "insert").when(F.col("n_target") == 0, "delete").otherwise("update").isin(*ops)
+    wanted = repeated.where(allowed)
+    packed = F.struct(*cols(sides.values)) if sides.values else F.struct(F.lit(True).alias("present"))
+    both = sides.target.select(*cols(sides.keys), packed.alias("_row"), F.lit(1).alias("_balance")).unionByName(
+        sides.given.select(*cols(sides.keys), packed.alias("_row"), F.lit(-1).alias("_balance"))
     )
-    single = F.col("op") != "duplicate_key"
-    return (
-        pair_sides(sides, primary_key)
-        .where(_not_same(sides))
-        .select(*cols(sides.keys), op.alias("op"), "given_row", "target_row")
-        .where(F.col("op").isin(*ops, "duplicate_key"))
-        .select(
-            *cols(sides.keys),
-            "op",
-            F.when(single, F.col("given_row")).alias("before"),
-            F.when(single, F.col("target_row")).alias("after"),
-        )
+    rows = keep_by_key(both, wanted, sides.keys, "left_semi")
+    forms = [comparable(F.col("_row").getField(v), sides.types[v]).alias(f"_form_{i}") for i, v in enumerate(sides.values)]
+    counted = rows.groupBy(*cols(sides.keys), *forms).agg(F.sum("_balance").alias("_balance"), F.any_value("_row").alias("_row"))
+    surplus = counted.where("_balance <> 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.abs("_balance"))))
+    inserted = F.col("_balance") > 0
+    return surplus.select(
+        *cols(sides.keys),
+        F.when(inserted, "insert").otherwise("delete").alias("op"),
+        F.when(~inserted, F.col("_row")).alias("before"),
+        F.when(inserted, F.col("_row")).alias("after"),
     )
 
 
@@ -241,8 +263,10 @@ __all__ = [
     "key_status",
     "observed_nullability",
     "pair_sides",
+    "paired_changes",
     "row_diff",
     "row_pairs",
     "rows_differ",
     "status_counts",
+    "surplus_rows",
 ]

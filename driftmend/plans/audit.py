@@ -6,7 +6,8 @@ from collections.abc import Collection, Sequence
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +24,7 @@ from driftmend.operators.rows import STATUSES, bag_diff, pair_sides, rows_differ
 from driftmend.plans.facts import with_affected
 from driftmend.sources.catalog import Catalog, load_catalog
 from driftmend.sources.contract import Namespace, Reference
+from driftmend.sources.sinks import staged
 
 # The checks a plain audit runs, and those that can be added.
 CHECKS = ("schema", "rows", "dependencies")
@@ -40,7 +42,7 @@ def audit(
     others: Sequence[Namespace] = (),
     catalogs: tuple[Catalog, Catalog] | None = None,
 ) -> DataFrame:
-    """Everything given lacks or has differently, as findings; lazy, so one action runs all checks of all tables.
+    """Everything given lacks or has differently, as findings.
 
     * ``schema``: missing tables and columns, differing types and nullability, colliding names
     * ``rows``: keys of target that given lacks
@@ -51,41 +53,53 @@ def audit(
     * ``orphans``: rows of given whose reference has no parent there
     * ``casts``: values of target that given's column type cannot hold
 
-    A table that cannot be compared is a finding itself and the others go on. All counts of a table that
-    concern its key come from one pass over it. ``catalogs`` replaces the catalogs of target and given, where
+    A table that cannot be compared or read is a finding itself and the others go on: the checks of some tables at a
+    time are one job whose findings are written to the shared work folder, and those of a job that fails are run again
+    table by table. All counts of a table that concern its key come from one pass over it. ``catalogs`` replaces the catalogs of target and given, where
     a database has its own (``read_jdbc``): with these ``compare_types="source"`` compares its type names.
     """
     unknown = set(checks) - {*CHECKS, *FURTHER_CHECKS}
     if unknown:
         raise ValueError(f"unknown checks {sorted(unknown)}; there are {[*CHECKS, *FURTHER_CHECKS]}")
     spark = _session(target, given)
-    ours, theirs = catalogs or (load_catalog(spark, target), load_catalog(spark, given, *others))
-    schema, here = target.schema, given.schema
-    about_schema: list[DataFrame] = []
-    if "schema" in checks:
-        about_schema += [
-            schema_audit.missing_tables(ours, theirs, schema, [*exclude, *given.errors], here),
-            schema_audit.missing_columns(ours, theirs, schema, here),
-            schema_audit.type_mismatches(ours, theirs, schema, compare_types, here),
-            schema_audit.nullability_mismatches(ours, theirs, schema, here),
-            schema_audit.name_collisions(ours, schema).union(schema_audit.name_collisions(theirs, here)).distinct(),
-        ]
-    if "dependencies" in checks:
-        about_schema.append(schema_audit.missing_dependencies(ours, theirs, schema, include_same_schema, here))
-    if "affected" in checks:
-        about_schema = [with_affected(stacked(about_schema), target, given)] if about_schema else []
-
-    found: list[DataFrame] = list(about_schema)
     failures = [(name, "load_error", text) for space in (target, given) for name, text in sorted(space.errors.items())]
+    parts: list[tuple[str, list[DataFrame]]] = []
+    if target.tables or given.tables:
+        ours, theirs = catalogs or (load_catalog(spark, target), load_catalog(spark, given, *others))
+        schema, here = target.schema, given.schema
+        about_schema: list[DataFrame] = []
+        if "schema" in checks:
+            about_schema += [
+                schema_audit.missing_tables(ours, theirs, schema, [*exclude, *given.errors], here),
+                schema_audit.missing_columns(ours, theirs, schema, here),
+                schema_audit.type_mismatches(ours, theirs, schema, compare_types, here),
+                schema_audit.nullability_mismatches(ours, theirs, schema, here),
+                schema_audit.name_collisions(ours, schema).union(schema_audit.name_collisions(theirs, here)).distinct(),
+            ]
+        if "dependencies" in checks:
+            about_schema.append(schema_audit.missing_dependencies(ours, theirs, schema, include_same_schema, here))
+        if about_schema:
+            plain = stacked(about_schema)
+            if "affected" in checks:
+                counted, broken = evaluated([("schema", [with_affected(plain, target, given)])], "findings")
+                parts += [("schema", counted or [plain])]
+                failures += [(name, "table_error", text) for name, text in broken]
+            else:
+                parts.append(("schema", [plain]))
     for name in target.names():
         other = given.find(name)
         if other is None or target.find(name) != name:
             continue
         for part in (_orphan_findings, _cast_findings, _key_findings):
             try:
-                found += part(name, other, target, given, others, checks)
+                if found := part(name, other, target, given, others, checks):
+                    parts.append((name, found))
             except (ValueError, AnalysisException) as error:
                 failures.append((name, "table_error", str(error)))
+    if not parts and not failures and not (target.tables or given.tables):
+        raise ValueError("neither side has a table")
+    found, broken = evaluated(parts, "findings")
+    failures += [(name, "table_error", text) for name, text in broken]
     if failures:
         found.append(_failures(spark, failures))
     if not found:
@@ -93,6 +107,34 @@ def audit(
     return labelled(stacked(found), run_id).orderBy("table", "kind", "column", "message")
 
 
+def evaluated(parts: Sequence[tuple[str, list[DataFrame]]], purpose: str, together: int = 16) -> tuple[list[DataFrame], list[tuple[str, str]]]:
+    """(written results, what failed): named frames of one schema, ``together`` of them a job.
+
+    The frames of a job that fails are run one by one, so that only those that fail themselves are missing.
+    """
+    done: list[DataFrame] = []
+    failed: list[tuple[str, str]] = []
+    for i in range(0, len(parts), together):
+        group = parts[i : i + together]
+        try:
+            done.append(staged(stacked([f for _, frames in group for f in frames]), purpose))
+        except (PySparkException, Py4JJavaError) as error:
+            if len(group) == 1:
+                failed.append((group[0][0], _first_line(error)))
+                continue
+            for one in group:
+                good, bad = evaluated([one], purpose)
+                done += good
+                failed += bad
+    return done, failed
+
+
+def _first_line(error: Exception) -> str:
+    cause = getattr(error, "java_exception", None)
+    lines = str(cause.toString() if cause is not None else error).strip().splitlines()
+    return (lines[0] if lines else type(error).__name__)[:500]
+
+
 def reverse_check(target: Namespace, given: Namespace, **options) -> DataFrame:
     """What given has and target lacks: the audit with the sides swapped."""
     return audit(given, target, **options)
@@ -104,24 +146,32 @@ def audit_metrics(
     """One row per table on both sides: its rows on each, keys by status, and orphaned rows of given.
 
     A table without a key is compared as a bag: there ``changed``, ``same`` and ``duplicate_key`` are NULL,
-    and the others count rows.
+    and the others count rows. A table that cannot be compared or read has NULL in all of them.
     """
-    frames = []
+    frames: list[tuple[str, list[DataFrame]]] = []
+    unread: list[str] = []
     for name in target.names():
         other = given.find(name)
         if other is None:
             continue
         left, right = target.tables[name], given.tables[other]
         keys = target.contract(name).keys
-        if keys:
-            counted = status_counts(left, right, keys, primary_key)
-        else:
-            counted = _bag_counts(left, right)
-        orphans = _orphan_total(name, target, given, others)
-        frames.append(counted.select(F.lit(name).alias("table"), *cols(counted.columns), orphans))
-    if not frames:
+        try:
+            counted = status_counts(left, right, keys, primary_key) if keys else _bag_counts(left, right)
+            orphans = _orphan_total(name, target, given, others)
+            frames.append((name, [counted.select(F.lit(name).alias("table"), *cols(counted.columns), orphans)]))
+        except (ValueError, AnalysisException):
+            unread.append(name)
+    if not frames and not unread:
         raise ValueError("the two sides share no table")
-    return stacked(frames)
+    done, broken = evaluated(frames, "metrics")
+    unread += [name for name, _ in broken]
+    counts = ("rows_target", "rows_given", *STATUSES, "orphan_rows")
+    if unread:
+        names = F.explode(F.array(*[F.lit(name) for name in unread])).alias("table")
+        empty = _session(target, given).range(1).select(names)
+        done.append(empty.select("table", *[F.lit(None).cast("bigint").alias(c) for c in counts]))
+    return stacked(done)
 
 
 def _orphan_findings(
@@ -251,7 +301,10 @@ def _session(*spaces: Namespace) -> SparkSession:
     for space in spaces:
         for table in space.tables.values():
             return table.sparkSession
-    raise ValueError("neither side has a table")
+    active = SparkSession.getActiveSession()
+    if active is None:
+        raise ValueError("neither side has a table")
+    return active
 
 
 __all__ = ["CHECKS", "FURTHER_CHECKS", "audit", "audit_metrics", "reverse_check"]

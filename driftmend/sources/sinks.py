@@ -2,30 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftmend.functions.names import cols
+from driftmend.functions.names import col, cols
 from driftmend.sources.readers import quoted
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the folder all executors share.
 
-    That is the session's ``spark.checkpoint.dir`` or the checkpoint folder set on its context. Where neither
-    is set, as in a local test, a temporary folder is; on a cluster that is an error.
+    That is the session's ``spark.checkpoint.dir`` or the checkpoint folder set on its context; without either it is
+    an error, since a folder of one machine would not be seen by the others.
     """
-    context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="driftmend-"))
-        base = context.getCheckpointDir()
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/driftmend/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -44,7 +40,20 @@ def write_findings(findings: DataFrame, path: str, format: str = "parquet") -> N
 
 
 def copy_table(source: DataFrame, destination: str, format: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    """Append every row of ``source`` to ``destination``. Map the schema first if the two differ."""
+    """Append every row of ``source`` to ``destination``.
+
+    Rows already there must have the same columns and types, in any order and case; map the schema first if not.
+    A copy that is repeated appends its rows again.
+    """
+    try:
+        there = source.sparkSession.read.format(format).load(destination).schema
+    except AnalysisException:  # nothing is there yet
+        there = None
+    if there is not None:
+        shape = lambda schema: {f.name.lower(): f.dataType.simpleString() for f in schema.fields}
+        if shape(there) != shape(source.schema):
+            raise ValueError(f"{destination} has another shape: {there.simpleString()} and not {source.schema.simpleString()}")
+        source = source.select(*[col(f.name) for f in there.fields])
     writer = source.write.mode("append").format(format)
     (writer.partitionBy(*partition_by) if partition_by else writer).save(destination)
 

@@ -11,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from driftmend.functions.names import col, cols, resolve
 from driftmend.functions.sides import keep_by_key
+from driftmend.functions.types import comparable
+from driftmend.sources.sinks import staged
 
 
 def read_arrivals(
@@ -43,11 +45,12 @@ def stream_sync(
     """Write the arriving rows whose key is neither in ``given`` nor written before, one folder per micro-batch.
 
     Works through what has arrived and stops; start it again, with the same ``checkpoint``, for what arrives later.
-    A micro-batch that is replayed after a failure overwrites its own folder and compares with earlier
-    ones only, so every key is written once.
+    A micro-batch that is replayed after a failure overwrites its own folders and compares with earlier
+    ones only, so every key is written once. Several unlike rows of a new key in one micro-batch are all written.
 
-    With ``delay`` repeated deliveries within that time are dropped in the stream's state, and rows later
-    than it are dropped too, by design; without, no row is dropped for being late.
+    Nothing is dropped without a trace: rows of a key that an earlier micro-batch wrote, and further copies of an equal
+    row, are listed by :func:`rejected_rows`. With ``delay`` the rows written although they are further behind the
+    highest ``progress`` value before them are listed by :func:`late_rows`.
     ``fixed_progress`` says that a key never changes its progress value: then only rows of given from
     the batch's least value on are read for the comparison.
     """
@@ -56,30 +59,62 @@ def stream_sync(
     schema = arrivals.schema
     if (delay is not None or fixed_progress) and progress is None:
         raise ValueError("delay and fixed_progress need a progress column")
-    if delay is not None:
-        # A watermark takes timestamps with a time zone only; the column itself stays as it is.
-        timed = arrivals.withColumn("_event_time", col(progress).cast("timestamp"))
-        arrivals = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(names).drop("_event_time")
+    if "batch" in (c.lower() for c in schema.names):
+        raise ValueError("the column name 'batch' is used for the folders of micro-batches; rename it first")
     # Reading the output has to work before the first batch is written.
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{out}/batch=-1")
+    for kind in ("", "_rejected", "_late"):
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{out}{kind}/batch=-1")
     stored = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        earlier = session.read.schema(stored).parquet(out).where(F.col("batch") < batch_id)
-        seen = given.select(*cols(schema.names)).unionByName(earlier.drop("batch"))
+        # Written first, so that its size is known: the keys of given and of earlier batches are reduced to those of
+        # a small batch without a shuffle.
+        arrived = staged(batch, "arrivals")
+        forms = [comparable(col(f.name), f.dataType).alias(f"_form_{i}") for i, f in enumerate(schema.fields)]
+        row = F.struct(*cols(schema.names))
+        counted = arrived.groupBy(*forms).agg(F.any_value(row).alias("row"), F.count("*").alias("n"))
+        counted = staged(counted.select("row", "n"), "arrivals")
+        alike = counted.select("row.*")
+
+        earlier = batch.sparkSession.read.schema(stored).parquet(out).where(F.col("batch") < batch_id)
+        seen = given
         if fixed_progress:
-            since = batch.agg(F.min(col(progress))).scalar()
-            seen = seen.where((col(progress) >= since) | col(progress).isNull())
-        new = keep_by_key(batch.dropDuplicates(names), seen, names, "left_anti")
+            since = alike.agg(F.min(col(progress))).scalar()
+            seen = given.where((col(progress) >= since) | col(progress).isNull())
+        there = keep_by_key(seen.select(*cols(names)), alike, names, "left_semi")
+        before = staged(keep_by_key(earlier.select(*cols(names)), alike, names, "left_semi").distinct(), "arrivals")
+        absent = staged(keep_by_key(alike, there, names, "left_anti"), "arrivals")
+        new = keep_by_key(absent, before, names, "left_anti")
         new.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
+        copies = counted.where("n > 1").select("row.*", F.explode(F.sequence(F.lit(2).cast("bigint"), F.col("n"))).alias("_copy")).drop("_copy")
+        copies = keep_by_key(copies, there, names, "left_anti")
+        rejected = keep_by_key(absent, before, names, "left_semi").unionByName(copies)
+        rejected.write.mode("overwrite").parquet(f"{out}_rejected/batch={batch_id}")
+        if delay is not None:
+            mark = earlier.agg(F.max(col(progress)) - F.expr(f"INTERVAL {delay}")).scalar()
+            new.where(col(progress) < mark).write.mode("overwrite").parquet(f"{out}_late/batch={batch_id}")
+
     return (
         arrivals.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
+def _stored(given: DataFrame, path: str) -> DataFrame:
+    stored = T.StructType([*given.schema.fields, T.StructField("batch", T.LongType())])
+    return given.sparkSession.read.schema(stored).parquet(path).drop("batch")
+
+
 def synced_state(given: DataFrame, out: str) -> DataFrame:
     """Given with everything the stream has added so far."""
-    stored = T.StructType([*given.schema.fields, T.StructField("batch", T.LongType())])
-    return given.unionByName(given.sparkSession.read.schema(stored).parquet(out).drop("batch"))
+    return given.unionByName(_stored(given, out))
+
+
+def rejected_rows(given: DataFrame, out: str) -> DataFrame:
+    """Rows that arrived for a key the stream had written before, and further copies of equal rows."""
+    return _stored(given, f"{out}_rejected")
+
+
+def late_rows(given: DataFrame, out: str) -> DataFrame:
+    """Rows the stream wrote although they came later than its ``delay``."""
+    return _stored(given, f"{out}_late")

@@ -5,6 +5,7 @@ import driftmend as dm
 from driftmend import Namespace, Reference, TableContract
 from driftmend.operators import schema_audit
 from driftmend.plans.audit import CHECKS, FURTHER_CHECKS
+from driftmend.plans.facts import with_affected
 from fixtures import GIVEN, KEYS, SCHEMA, TARGET
 
 EVERYTHING = (*CHECKS, *FURTHER_CHECKS)
@@ -212,7 +213,32 @@ def test_affected_rows_are_counted_on_the_columns_in_question_only(spark, tmp_pa
     given = Namespace("main", {"t": table.drop("v")}, (TableContract("t", keys="id"),))
     found = dm.audit(target, given, checks=("schema", "affected"))
     assert kinds(found) == [("gone", "missing_table", None, 4), ("t", "missing_column", "v", 1)]
-    assert "ReadSchema: struct<v:string>" in found._jdf.queryExecution().toString()
+    ours, theirs = (dm.load_catalog(spark, s) for s in (target, given))
+    counted = with_affected(schema_audit.missing_columns(ours, theirs, "main"), target, given)
+    assert "ReadSchema: struct<v:string>" in counted._jdf.queryExecution().toString()
+
+
+def test_a_failing_table_does_not_end_an_audit(spark):
+    broken = spark.range(5).withColumn("id", F.raise_error(F.lit("broken file")).cast("bigint"))
+    contracts = tuple(TableContract(t, keys="id") for t in ("a", "b", "c"))
+    target = Namespace("main", {t: spark.range(5) for t in "abc"}, contracts)
+    given = Namespace("main", {"a": spark.range(3), "b": broken, "c": spark.range(4)}, errors={"lost": "no such file"})
+    found = {(r["table"], r["kind"], r["n"]) for r in dm.audit(target, given).collect()}
+    assert {("a", "unsynced_rows", 2), ("b", "table_error", None), ("c", "unsynced_rows", 1), ("lost", "load_error", None)} <= found
+    metrics = {r["table"]: (r["rows_target"], r["missing_in_given"]) for r in dm.audit_metrics(target, given).collect()}
+    assert metrics == {"a": (5, 2), "b": (None, None), "c": (5, 1)}
+
+
+def test_metrics_go_on_after_a_table_of_another_shape(spark):
+    target = Namespace("main", {"a": spark.range(5), "b": spark.range(2)}, (TableContract("b", keys="id"),))
+    given = Namespace("main", {"a": spark.range(5).selectExpr("id", "1 as more"), "b": spark.range(1)})
+    metrics = {r["table"]: (r["rows_target"], r["missing_in_given"]) for r in dm.audit_metrics(target, given).collect()}
+    assert metrics == {"a": (None, None), "b": (2, 1)}
+
+
+def test_loading_errors_are_findings_when_nothing_loads(spark):
+    nothing = Namespace("main", {}, errors={"t": "no such file"})
+    assert [(r["table"], r["kind"]) for r in dm.audit(nothing, Namespace("main", {})).collect()] == [("t", "load_error")]
 
 
 def test_colliding_columns_do_not_stop_an_audit(spark):

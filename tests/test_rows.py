@@ -50,21 +50,89 @@ def test_status_counts_of_empty_sides(spark):
 def test_conflicts_are_the_differing_cells(sides):
     target, given = sides
     found = {tuple(r) for r in dm.conflicts(target, given, KEYS).collect()}
-    assert found == {("changed", "c", "s", "old", "new"), ("nulled", "n", "n", "8", None)}
+    cells = {r for r in found if r[2] is not None}
+    assert cells == {("changed", "c", "s", "old", "new"), ("nulled", "n", "n", "8", None)}
+    assert {r[:2] for r in found - cells} <= {k for k, (s, _) in statuses(TARGET, GIVEN).items() if s == "duplicate_key"}
+
+
+def applied(log, given):
+    """Given after its deletes and updates took rows away and its inserts and updates brought rows."""
+    state = bag(given)
+    for r in log:
+        key = (r["k1"], r["k2"])
+        for row, change in ((r["before"], -1), (r["after"], 1)):
+            if row is not None:
+                state[(*key, *row)] = state.get((*key, *row), 0) + change
+    assert all(n >= 0 for n in state.values())
+    return {row: n for row, n in state.items() if n}
 
 
 def test_change_log_turns_given_into_target(sides):
     target, given = sides
     log = dm.change_log(target, given, KEYS).collect()
+    assert applied(log, GIVEN) == bag(TARGET)
     ops = {(r["k1"], r["k2"]): r["op"] for r in log}
-    meaning = {"missing_in_given": "insert", "only_in_given": "delete", "changed": "update", "duplicate_key": "duplicate_key"}
-    assert ops == {k: meaning[s] for k, (s, _) in statuses(TARGET, GIVEN).items() if s != "same"}
+    meaning = {"missing_in_given": "insert", "only_in_given": "delete", "changed": "update"}
+    single = {k: meaning[s] for k, (s, _) in statuses(TARGET, GIVEN).items() if s in meaning}
+    assert {k: ops[k] for k in single} == single
     update = next(r for r in log if r["op"] == "update" and r["k1"] == "changed")
     assert (update["before"]["s"], update["after"]["s"]) == ("new", "old")
     blank = next(r for r in log if r["k1"] == "blank")
     assert blank["before"] is None and blank["after"].asDict() == {"n": None, "s": None}
-    kept = {r["op"] for r in dm.change_log(target, given, KEYS, ops=("insert",)).collect()}
-    assert kept == {"insert", "duplicate_key"}
+    assert {r["op"] for r in dm.change_log(target, given, KEYS, ops=("insert",)).collect()} == {"insert"}
+
+
+def test_a_log_of_equal_sides_is_empty(sides):
+    target, _ = sides
+    assert dm.change_log(target, target, KEYS).isEmpty()
+
+
+def test_log_of_repeated_keys_counts_copies(spark):
+    target = spark.createDataFrame([(1, {"a": 1}), (1, {"a": 1}), (1, None), (2, {"b": 2}), (2, {"b": 2})], "k int, v map<string,int>")
+    given = spark.createDataFrame([(1, {"a": 1}), (1, {"c": 3}), (3, None), (3, None)], "k int, v map<string,int>")
+    found = sorted((r.k, r.op, str(r.before), str(r.after)) for r in dm.change_log(target, given, ["k"]).collect())
+    row = lambda v: f"Row(v={v})"
+    assert found == sorted([
+        (1, "insert", "None", row({"a": 1})), (1, "insert", "None", row(None)), (1, "delete", row({"c": 3}), "None"),
+        (2, "insert", "None", row({"b": 2})), (2, "insert", "None", row({"b": 2})), (3, "delete", row(None), "None"), (3, "delete", row(None), "None"),
+    ])
+    kinds = lambda ops: sorted((r.k, r.op) for r in dm.change_log(target, given, ["k"], ops=ops).collect())
+    assert kinds(("insert",)) == [(2, "insert"), (2, "insert")]
+    assert kinds(("update",)) == [(1, "delete"), (1, "insert"), (1, "insert")]
+
+
+def test_unlike_types_meet_without_loss(spark):
+    pairs = [
+        ("cast(2 as bigint)", "cast(2 as decimal(30,2))", True),
+        ("cast(2 as bigint)", "cast('10000000000000000000000000' as decimal(30,2))", False),
+        ("9007199254740993L", "cast(9007199254740992L as double)", False),
+        ("9007199254740992L", "cast(9007199254740992L as double)", True),
+        ("5L", "cast(5.5 as double)", False),
+        ("0L", "cast('-0.0' as double)", True),
+        ("7", "cast(7 as double)", True),
+        ("cast(5 as decimal(38,0))", "cast(5 as decimal(38,18))", True),
+        ("cast('0' as decimal(38,38))", "0L", True),
+        ("cast('0.10' as decimal(38,38))", "cast('0.1' as decimal(38,10))", True),
+        ("cast('0.10' as decimal(38,38))", "cast('0.11' as decimal(38,10))", False),
+        ("cast('100.00' as decimal(38,2))", "cast(100 as decimal(38,0))", True),
+        ("date'2024-01-01'", "timestamp'2024-01-01 00:00:00'", True),
+        ("date'2024-01-01'", "timestamp_ntz'2024-01-01 00:00:01'", False),
+        ("timestamp'2024-01-01 00:00:00'", "timestamp_ntz'2024-01-01 00:00:00'", True),
+        ("cast(null as bigint)", "cast(null as double)", True),
+        ("cast(null as decimal(38,18))", "0L", False),
+    ]
+    for a, b, same in pairs:
+        left, right = (spark.range(1).selectExpr("id", f"{x} as v") for x in (a, b))
+        for one, other in ((left, right), (right, left)):
+            found = dm.row_diff(one, other, ["id"]).first()["status"]
+            assert (found == "same") == same, (a, b)
+
+
+def test_conflicts_tell_of_repeated_keys(spark):
+    target = spark.createDataFrame([(1, "a"), (1, "b"), (2, "x"), (3, "t"), (3, "t")], "k int, v string")
+    given = spark.createDataFrame([(1, "a"), (2, "y")], "k int, v string")
+    found = {tuple(r) for r in dm.conflicts(target, given, ["k"]).collect()}
+    assert found == {(1, None, "2 rows", "1 rows"), (2, "v", "x", "y")}
 
 
 def test_bag_diff_counts_copies(sides):

@@ -174,7 +174,7 @@ def test_bucketed_tables_are_compared_without_a_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_without_a_checkpoint_folder_a_local_session_makes_one_and_a_cluster_refuses(spark):
+def test_without_a_checkpoint_folder_there_is_no_work_folder(spark):
     class Unset:
         def get(self, key, default=None):
             return default
@@ -193,6 +193,20 @@ def test_without_a_checkpoint_folder_a_local_session_makes_one_and_a_cluster_ref
         def __init__(self, master):
             self.conf, self.sparkContext = Unset(), Context(master)
 
-    assert "driftmend-" in work_folder(Session("local[2]"), "x")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        work_folder(Session("yarn"), "x")
+    for master in ("local[2]", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            work_folder(Session(master), "x")
+    with_folder = Session("local[2]")
+    with_folder.sparkContext.setCheckpointDir("/shared/folder")
+    assert work_folder(with_folder, "x").startswith("/shared/folder/")
+
+
+def test_a_copy_keeps_the_shape_of_what_is_there(spark, tmp_path):
+    path = str(tmp_path / "copy")
+    dm.copy_table(spark.range(2).selectExpr("id", "'a' as v"), path)
+    dm.copy_table(spark.range(2).selectExpr("'b' as V", "id"), path)
+    assert spark.read.parquet(path).where("v in ('a', 'b')").count() == 4
+    with pytest.raises(ValueError, match="shape"):
+        dm.copy_table(spark.range(2), path)
+    with pytest.raises(ValueError, match="shape"):
+        dm.copy_table(spark.range(2).selectExpr("id", "1 as v"), path)

@@ -53,7 +53,7 @@ def test_a_batch_that_is_replayed_replaces_itself(spark, tmp_path, given):
     assert bag(tuple(r) for r in dm.synced_state(given, f"{out}/rows").collect()) == first
 
 
-def test_late_rows_are_dropped_only_with_a_delay(spark, tmp_path, given):
+def test_late_rows_are_written_and_listed(spark, tmp_path, given):
     arrive(spark, tmp_path, FIRST, "one")
     arrive(spark, tmp_path, SECOND[:4], "two")
     whole = run(spark, tmp_path, work_folder(spark, "stream"), given, progress="ts", fixed_progress=True)
@@ -62,7 +62,28 @@ def test_late_rows_are_dropped_only_with_a_delay(spark, tmp_path, given):
     run(spark, tmp_path, out, given, progress="ts", delay="3 days")
     arrive(spark, tmp_path, [(7, at(1), "too late"), (8, at(22), "in time")], "three")
     late = run(spark, tmp_path, out, given, progress="ts", delay="3 days")
-    assert (8, at(22), "in time") in late and (7, at(1), "too late") not in late
+    assert (8, at(22), "in time") in late and (7, at(1), "too late") in late
+    listed = {tuple(r) for r in dm.late_rows(given, f"{out}/rows").collect()}
+    assert (7, at(1), "too late") in listed and (8, at(22), "in time") not in listed
+
+
+def test_rows_that_are_not_added_are_listed(spark, tmp_path, given):
+    out = work_folder(spark, "stream")
+    arrive(spark, tmp_path, [(3, at(3), "c"), (3, at(3), "c"), (3, at(4), "other"), (1, at(9), "there")], "one")
+    assert run(spark, tmp_path, out, given) == bag([*GIVEN, (3, at(3), "c"), (3, at(4), "other")])
+    arrive(spark, tmp_path, [(3, at(5), "again"), (2, at(2), "b"), (9, at(9), "new")], "two")
+    state = run(spark, tmp_path, out, given)
+    assert state == bag([*GIVEN, (3, at(3), "c"), (3, at(4), "other"), (9, at(9), "new")])
+    rejected = bag(tuple(r) for r in dm.rejected_rows(given, f"{out}/rows").collect())
+    assert rejected == bag([(3, at(3), "c"), (3, at(5), "again")])
+
+
+def test_the_name_of_the_folders_is_refused(spark, tmp_path):
+    odd = spark.createDataFrame([(1, 2)], "id int, batch int")
+    odd.write.parquet(f"{tmp_path}/one")
+    arrivals = dm.read_arrivals(spark, f"{tmp_path}/*", odd.schema)
+    with pytest.raises(ValueError, match="batch"):
+        dm.stream_sync(arrivals, odd, ["id"], f"{tmp_path}/out", f"{tmp_path}/checkpoint")
 
 
 def test_a_delay_needs_a_progress_column(spark, tmp_path, given):
