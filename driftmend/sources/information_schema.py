@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftmend.sources.catalog import Catalog
@@ -32,10 +32,50 @@ SOURCE_FAMILIES: dict[str, str] = {
     "ARRAY": "array",
 }
 
+# Short type names, as elements of arrays are named, and their full names.
+SHORT_NAMES: dict[str, str] = {
+    "int2": "smallint",
+    "int4": "integer",
+    "int8": "bigint",
+    "float4": "real",
+    "float8": "double precision",
+    "bool": "boolean",
+    "varchar": "character varying",
+    "bpchar": "character",
+    "timestamp": "timestamp without time zone",
+    "timestamptz": "timestamp with time zone",
+}
+
 # The relations a catalog is built from.
 RELATIONS = ("tables", "columns", "table_constraints", "key_column_usage", "referential_constraints")
 
 
+def exact_type(columns: DataFrame) -> Column:
+    """A column's type spelt as Spark spells it, with length, precision, scale and element type where they are told.
+
+    A number without a declared precision is read by Spark as decimal(38,18).
+    """
+    told = {c.lower() for c in columns.columns}
+    number = lambda name: F.col(name).cast("string") if name in told else F.lit(None).cast("string")
+    known = F.create_map(*[F.lit(x) for pair in SOURCE_FAMILIES.items() for x in pair])
+    long = F.create_map(*[F.lit(x) for pair in SHORT_NAMES.items() for x in pair])
+    kind = F.col("data_type")
+    length = number("character_maximum_length")
+    plain = F.coalesce(known[kind], kind)
+    exact = (
+        F.when(kind == "numeric", F.concat(F.lit("decimal("), F.coalesce(number("numeric_precision"), F.lit("38")), F.lit(","),
+                                           F.coalesce(number("numeric_scale"), F.lit("18")), F.lit(")")))
+        .when((kind == "character varying") & length.isNotNull(), F.concat(F.lit("varchar("), length, F.lit(")")))
+        .when((kind == "character") & length.isNotNull(), F.concat(F.lit("char("), length, F.lit(")")))
+    )
+    if "udt_name" in told:
+        element = F.ltrim(F.col("udt_name"), F.lit("_"))
+        element = F.coalesce(long[element], element)
+        element = F.when(element == "numeric", "decimal(38,18)").otherwise(F.coalesce(known[element], element))
+        exact = exact.when(kind == "ARRAY", F.concat(F.lit("array<"), element, F.lit(">")))
+    return F.coalesce(exact, plain)
+
+
 def catalog_from_information_schema(
     tables: DataFrame,
     columns: DataFrame,
@@ -93,7 +133,7 @@ def catalog_from_information_schema(
             F.col("ordinal_position").cast("int").alias("ordinal"),
             F.col("column_name").alias("column"),
             F.coalesce(known[F.col("data_type")], F.col("data_type")).alias("data_type"),
-            F.col("data_type").alias("exact_type"),
+            exact_type(columns).alias("exact_type"),
             F.col("data_type").alias("source_type"),
             (F.col("is_nullable") == "YES").alias("nullable"),
             F.col("column_default").alias("default"),

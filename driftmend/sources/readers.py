@@ -77,6 +77,38 @@ def jdbc_options(schema: str, table: str, split: Split | None = None, fetch_size
     return options if split is None else {**options, **split.options()}
 
 
+# Fixed value: bytes of a page of the databases whose tables can be read by page numbers.
+PAGE_BYTES = 8192
+
+
+def pages_query(schema: str) -> str:
+    """Pages of each plain table of a schema, as a relation a JDBC read can take."""
+    name = schema.replace("'", "''")
+    return (
+        "(SELECT c.relname AS table_name, c.relpages AS pages FROM pg_catalog.pg_class c "
+        f"JOIN pg_catalog.pg_namespace n ON n.oid = c.relnamespace WHERE n.nspname = '{name}' AND c.relkind = 'r') AS pages"
+    )
+
+
+def page_predicates(pages: int, task_bytes: int) -> list[str]:
+    """Conditions that cut a table into runs of pages of about ``task_bytes``, whatever its key.
+
+    ``pages`` is what the database counted last; the last run is open, so rows added since are read as well.
+    """
+    step = max(1, task_bytes // PAGE_BYTES)
+    starts = list(range(0, max(1, pages), step))
+    ends = [*starts[1:], None]
+    return [
+        f"ctid >= '({low},0)'::tid" + (f" AND ctid < '({high},0)'::tid" if high is not None else "") for low, high in zip(starts, ends, strict=True)
+    ]
+
+
+def hash_predicates(columns: Iterable[str], parts: int) -> list[str]:
+    """Conditions that cut a table by a hash of its key's text, for what has no pages of its own, such as a large view."""
+    key = ", ".join(f"{quoted(c)}::text" for c in columns)
+    return [f"mod(abs(hashtext(concat_ws('|', {key}))::bigint), {parts}) = {i}" for i in range(parts)]
+
+
 def jdbc_catalog(spark: SparkSession, connection: Mapping[str, str]) -> Catalog:
     """Catalog of a database; its driver jar must be on Spark's class path."""
     reader = spark.read.format("jdbc").options(**dict(connection))
@@ -110,22 +142,41 @@ def read_jdbc(
     spark: SparkSession,
     schema: str,
     connection: Mapping[str, str],
+    task_bytes: int = 128 << 20,
+    splits: Mapping[str, Split | list[str]] | None = None,
+    by_pages: bool = True,
     partitions: int = 64,
-    splits: Mapping[str, Split] | None = None,
 ) -> tuple[Namespace, Catalog]:
     """All tables and views of a database schema, with the keys and references declared there.
 
-    Each table with an integer key is read in ``partitions`` tasks; give ``splits`` for others that are large.
+    A table is read in tasks of about ``task_bytes``, by its pages, whatever its key is. Where the database has no such
+    pages (``by_pages=False``) each table with an integer key is read in ``partitions`` tasks by ranges of it. ``splits``
+    gives ranges or conditions (see :func:`hash_predicates`) for others that are large, such as views.
     """
     catalog = jdbc_catalog(spark, connection)
-    chosen = {**splits_by_key(spark, connection, catalog, schema, partitions), **(splits or {})}
+    chosen: dict[str, Split | list[str]] = {}
+    if by_pages:
+        counted = spark.read.format("jdbc").options(**dict(connection), dbtable=pages_query(schema)).load()
+        for row in counted.toLocalIterator():
+            if row["pages"] * PAGE_BYTES > task_bytes:
+                chosen[row["table_name"]] = page_predicates(row["pages"], task_bytes)
+    else:
+        chosen.update(splits_by_key(spark, connection, catalog, schema, partitions))
+    chosen.update(splits or {})
     tables: dict[str, DataFrame] = {}
     errors: dict[str, str] = {}
     for row in catalog.tables.where(F.col("schema") == schema).orderBy("table").toLocalIterator():
         name = row["table"]
-        options = {**dict(connection), **jdbc_options(schema, name, chosen.get(name))}
         try:
-            tables[name] = spark.read.format("jdbc").options(**options).load()
+            tables[name] = _load(spark, connection, schema, name, chosen.get(name))
         except PySparkException as error:
             errors[name] = error.getCondition() or str(error)
     return Namespace(schema, tables, tuple(contracts_of(catalog, schema)), errors), catalog
+
+
+def _load(spark: SparkSession, connection: Mapping[str, str], schema: str, table: str, split: Split | list[str] | None) -> DataFrame:
+    if isinstance(split, list):
+        options = {**dict(connection), **jdbc_options(schema, table)}
+        url, dbtable = options.pop("url"), options.pop("dbtable")
+        return spark.read.jdbc(url, dbtable, predicates=split, properties=options)
+    return spark.read.format("jdbc").options(**{**dict(connection), **jdbc_options(schema, table, split)}).load()

@@ -2,8 +2,8 @@ import pytest
 
 import driftmend as dm
 from driftmend import Namespace, Reference, TableContract
-from driftmend.sources.information_schema import catalog_from_information_schema, contracts_of
-from driftmend.sources.readers import Split, bounds_query, jdbc_options
+from driftmend.sources.information_schema import catalog_from_information_schema, contracts_of, exact_type
+from driftmend.sources.readers import Split, bounds_query, hash_predicates, jdbc_options, page_predicates, pages_query
 from driftmend.sources.sinks import save_bucketed, staged, work_folder
 
 
@@ -89,6 +89,28 @@ def test_source_types_are_compared_by_name(database, spark):
     assert kinds == [("nullability_mismatch", "id"), ("type_mismatch", "account"), ("type_mismatch", "tenant")]
 
 
+def test_types_of_a_database_are_spelt_as_spark_spells_them(spark):
+    rows = [
+        ("numeric", None, 12, 2, "numeric", "decimal(12,2)"), ("numeric", None, None, None, "numeric", "decimal(38,18)"),
+        ("character varying", 20, None, None, "varchar", "varchar(20)"), ("character varying", None, None, None, "varchar", "string"),
+        ("character", 3, None, None, "bpchar", "char(3)"), ("integer", None, 32, 0, "int4", "int"), ("double precision", None, 53, None, "float8", "double"),
+        ("ARRAY", None, None, None, "_int4", "array<int>"), ("ARRAY", None, None, None, "_text", "array<string>"), ("uuid", None, None, None, "uuid", "string"),
+    ]
+    columns = spark.createDataFrame(rows, "data_type string, character_maximum_length int, numeric_precision int, numeric_scale int, udt_name string, want string")
+    assert all(r[0] == r[1] for r in columns.select(exact_type(columns), "want").collect())
+    bare = columns.select("data_type", "want")
+    assert {r[0] for r in bare.select(exact_type(bare)).where("want like 'array%'").collect()} == {"array"}
+
+
+def test_tables_are_split_by_pages_whatever_their_key():
+    assert page_predicates(0, 1 << 27) == ["ctid >= '(0,0)'::tid"]
+    assert page_predicates(40_000, 1 << 27) == [
+        "ctid >= '(0,0)'::tid AND ctid < '(16384,0)'::tid", "ctid >= '(16384,0)'::tid AND ctid < '(32768,0)'::tid", "ctid >= '(32768,0)'::tid",
+    ]
+    assert hash_predicates(["a", 'b"c'], 2)[1] == """mod(abs(hashtext(concat_ws('|', "a"::text, "b""c"::text))::bigint), 2) = 1"""
+    assert "n.nspname = 'o''dd'" in pages_query("o'dd")
+
+
 def test_jdbc_reads_are_split_and_quoted():
     assert jdbc_options("public", 'odd"name') == {"dbtable": '"public"."odd""name"', "fetchsize": "10000"}
     assert jdbc_options("public", "t", Split("id", "1", "1000000", 64)) == {
