@@ -88,23 +88,29 @@ def _normal(z: Column) -> Column:
     return 1 / (1 + F.exp(-1.5976 * z - 0.07056 * z * z * z))
 
 
-def ordinariness(value: Column) -> Column:
-    """The p-value of ``value``, a string of the candidates' characters, being an ordinary string."""
-    n = F.length(value).cast("double")
-    chars = F.filter(F.split(value, ""), lambda c: c != "")
-    squares = F.aggregate(
-        F.array_distinct(chars),
-        F.lit(0.0),
-        lambda sum, c: sum + F.pow(n - F.length(F.replace(value, c, F.lit(""))), F.lit(2)),
-    )
+def with_ordinariness(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``p``, the p-value of ``value``, a string of the candidates' characters, being an ordinary string.
+
+    Each intermediate value is a column of its own, so that it is worked out once a row.
+    """
+    value, n = F.col("value"), F.col("_n")
     size, alphabet, equal = F.lit(0.0), F.lit(""), F.lit(0.0)
     for pattern, letters, chance in reversed(ENCODINGS):
         own = value.rlike(pattern) if pattern else F.lit(True)
         size = F.when(own, F.lit(float(len(letters)))).otherwise(size)
         alphabet = F.when(own, F.lit(letters)).otherwise(alphabet)
         equal = F.when(own, F.lit(chance)).otherwise(equal)
-    chi = size / n * squares - n
-    excess = size * equal - 1
+    total = lambda x: F.aggregate(x, F.lit(0.0), lambda sum, v: sum + v)
+    chars = F.filter(F.split(value, ""), lambda c: c != "")
+    first = rows.withColumns({"_n": F.length(value).cast("double"), "_size": size, "_alphabet": alphabet, "_equal": equal, "_chars": chars})
+    codes = F.transform("_chars", lambda c: F.instr(F.col("_alphabet"), c).cast("double"))
+    count = lambda sum, c: sum + F.pow(n - F.length(F.replace(value, c, F.lit(""))), F.lit(2))
+    second = first.withColumns({"_codes": codes, "_squares": F.aggregate(F.array_distinct("_chars"), F.lit(0.0), count)})
+    third = second.withColumn("_mean", total(F.col("_codes")) / n)
+    centred = third.withColumn("_centred", F.transform("_codes", lambda v: v - F.col("_mean")))
+
+    size, excess = F.col("_size"), F.col("_size") * F.col("_equal") - 1
+    chi = size / n * F.col("_squares") - n
     even = _normal((chi - (size - 1) - n * excess) / F.sqrt(2 * (size - 1) + 4 * n * excess))
 
     classes = F.translate(value, UPPER + LOWER + DIGITS + "+/-_", "u" * 26 + "l" * 26 + "d" * 10 + "s" * 4)
@@ -112,16 +118,15 @@ def ordinariness(value: Column) -> Column:
     runs = F.length(F.regexp_replace(classes, "(.)\\1+", "$1")).cast("double")
     changing = 1 - _normal((runs - 1 - (n - 1) * CHANGES) / F.sqrt((n - 1) * CHANGES * (1 - CHANGES)))
 
-    codes = F.transform(chars, lambda c: F.instr(alphabet, c).cast("double"))
-    total = lambda x: F.aggregate(x, F.lit(0.0), lambda sum, v: sum + v)
-    mean = total(codes) / n
-    centred = F.transform(codes, lambda v: v - mean)
-    square = total(F.transform(centred, lambda v: v * v))
-    cross = total(F.zip_with(F.slice(centred, 1, F.size(centred) - 1), F.slice(centred, 2, F.size(centred) - 1), lambda a, b: a * b))
-    r = F.when(square > 0, F.greatest(F.lit(-0.999), F.least(F.lit(0.999), cross / square))).otherwise(0.999)
+    around = F.col("_centred")
+    square = total(F.transform(around, lambda v: v * v))
+    cross = total(F.zip_with(F.slice(around, 1, F.size(around) - 1), F.slice(around, 2, F.size(around) - 1), lambda a, b: a * b))
+    last = centred.withColumns({"_even": even, "_changing": changing, "_square": square, "_cross": cross})
+    r = F.when(F.col("_square") > 0, F.greatest(F.lit(-0.999), F.least(F.lit(0.999), F.col("_cross") / F.col("_square")))).otherwise(0.999)
+    follows = last.withColumn("_r", r)
     atanh = lambda x: F.log((1 + x) / (1 - x)) / 2
-    serial = 1 - _normal((atanh(F.lit(FOLLOWS)) - atanh(r)) * F.sqrt(n - 3))
-    return F.greatest(even, changing, serial, F.lit(1e-12))
+    serial = 1 - _normal((atanh(F.lit(FOLLOWS)) - atanh(F.col("_r"))) * F.sqrt(n - 3))
+    return follows.withColumn("p", F.greatest("_even", "_changing", serial, F.lit(1e-12))).select(*rows.columns, "p")
 
 
 def _limits(tested: DataFrame, rate: float) -> dict[int, int]:
@@ -147,12 +152,12 @@ def secret_spans(docs: DataFrame, rate: float = 0.002) -> DataFrame:
     begins within one, is left out; digest is the xxhash64 of the text and tells apart rows that share a doc_id.
     """
     found = staged(_matches(docs), "matches")
-    p = ordinariness(F.col("value"))
     band = F.lit(len(BANDS))
     for i, below in reversed(list(enumerate(BANDS))):
         band = F.when(F.length("value") < below, F.lit(i)).otherwise(band)
-    candidates = found.where("kind = 3").withColumn("step", F.floor(-F.log(p) * STEPS).cast("int")).withColumn("band", band)
-    tested = staged(candidates.drop("value"), "tested")
+    judged = with_ordinariness(found.where("kind = 3"))
+    candidates = judged.withColumn("step", F.floor(-F.log("p") * STEPS).cast("int")).withColumn("band", band)
+    tested = staged(candidates.drop("value", "p"), "tested")
     reported = F.lit(False)
     for own, step in _limits(tested, rate).items():
         reported = reported | ((F.col("band") == own) & (F.col("step") >= step))
