@@ -445,3 +445,26 @@ def audit_with_a_broken_table(t: Tables) -> DataFrame:
 def broken_table_is_told(t: Tables) -> DataFrame:
     found = _broken(t)
     return found.where("lower(table_name) = 'orders'").select("table_name", "kind", (F.length("message") > 0).alias("told"))
+
+
+@query("""WITH o AS (SELECT *, CASE WHEN o_orderkey % 50 = 0 THEN NULL WHEN o_orderkey % 10 = 1 THEN o_orderkey - 1 ELSE o_orderkey END AS k FROM orders),
+repeated AS (SELECT count(*) AS n FROM (SELECT k FROM o GROUP BY k HAVING count(*) > 1)),
+sides AS (SELECT unnest(['target', 'given']) AS side)
+SELECT 'orders' AS table_name, 'duplicate_key' AS kind, n FROM repeated, sides
+UNION ALL SELECT 'orders', 'null_key', n FROM (SELECT count(*) AS n FROM o WHERE k IS NULL), sides
+UNION ALL SELECT 'orders', 'cast_loss', count(*) FROM orders WHERE o_orderkey % 11 = 0
+UNION ALL SELECT 'region', 'name_collision', 2 FROM (SELECT count(*) FROM region)
+UNION ALL SELECT 'lost', 'load_error', NULL FROM (SELECT count(*) FROM region)""")
+def audit_rare_kinds(t: Tables) -> DataFrame:
+    """Repeated and NULL keys on either side, values that a cast loses, colliding names and a table that did not load."""
+    key = F.col("o_orderkey")
+    known = F.when(key % 50 == 0, None).when(key % 10 == 1, key - 1).otherwise(key)
+    label = F.when(key % 11 == 0, "n/a").otherwise(key.cast("string"))
+    target = t.orders.withColumn("reference", label).withColumn("o_orderkey", known)
+    given = t.orders.withColumn("reference", key).withColumn("o_orderkey", known)
+    contracts = (dm.TableContract("orders", keys="o_orderkey"),)
+    ours = dm.Namespace("main", {"orders": target, "Region": t.region, "region": t.region}, contracts)
+    theirs = dm.Namespace("main", {"orders": given, "region": t.region}, contracts, {"lost": "no such file"})
+    found = _shown(dm.audit(ours, theirs, "rare", checks=("schema", "keys", "casts")))
+    kinds = ("duplicate_key", "null_key", "cast_loss", "name_collision", "load_error")
+    return found.where(F.col("kind").isin(*kinds)).select("table_name", "kind", "n")
