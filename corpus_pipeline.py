@@ -10,6 +10,7 @@ from driftmend.llm import language, secrets
 from driftmend.llm.decontamination import contamination
 from driftmend.llm.near_duplicates import SetSketch, near_duplicates
 from driftmend.llm.packing import pack_documents
+from driftmend.llm.texts import small_batches
 from driftmend.sources.sinks import staged
 
 #: Mean probability below which no language is credible.
@@ -28,6 +29,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Where no document has a ``lang``, nothing can be learned and all documents stay.
     """
+    small_batches(spark)
     network = language.learned(docs, F.lit(True))
     if network is None:
         return docs
@@ -41,6 +43,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows with one id count as one document, and the text that hashes lowest stays; rows without an id all stay.
     """
+    small_batches(spark)
     found = near_duplicates(docs, shingle=5, percent=80, sketch=SetSketch(rows=4))
     kept = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept_id")).distinct()
     rank = _free(docs, "_rank")
@@ -51,6 +54,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any ten words in a row of a benchmark item."""
+    small_batches(spark)
     _, hits = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("item_id IS NOT NULL"), size=10)
     bad = hits.select(F.col("doc_id").alias("_bad_id"), F.col("digest").alias("_bad_digest")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_digest"))
@@ -68,6 +72,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens in sequences of 2048."""
+    small_batches(spark)
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2048, 0)
 
 

@@ -17,6 +17,7 @@ from driftmend.llm.quality import learned, remainder, score_quality
 from driftmend.llm.resharding import reshard_documents
 from driftmend.llm.secrets import scan
 from driftmend.llm.suffix_tree import suffix_tree_scores
+from driftmend.llm.texts import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +29,7 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -12,6 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 PIECE = 1 << 18
 ALL = (1 << 64) - 1
@@ -117,6 +118,18 @@ def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         low = high
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to tasks in batches of so many rows, unless the session has a number of its own.
+
+    Spark's default of 10,000 rows holds tens of MB of text per task twice, in the executor and in its worker.
+    """
+    if int(spark.conf.get(BATCH)) == 10_000:
+        spark.conf.set(BATCH, str(rows))
+
+
 def long_array(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
