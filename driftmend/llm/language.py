@@ -264,10 +264,8 @@ def identify(docs: DataFrame, network: Network | None, language: str = "lang_pre
     are passed on as they are, but for those of the same two names, which are replaced; repeated rows each get their
     row, an empty table gives an empty one.
     """
-    docs = docs.drop(language, score)
-    key = "_text"
-    while key in docs.columns:
-        key = f"_{key}"
+    docs = docs.drop(language, score).withColumn("text", F.col("text").cast("string"))
+    at = docs.columns.index("text")
     if network is None:
         return docs.withColumns({language: F.lit(UNKNOWN), score: F.lit(0.0)})
     shared = docs.sparkSession.sparkContext.broadcast((network, network.name()))
@@ -278,7 +276,7 @@ def identify(docs: DataFrame, network: Network | None, language: str = "lang_pre
         memory = Memory.of(name, len(network.languages))
         kinds = pa.array([*network.languages, UNKNOWN])
         for batch in batches:
-            for low, high, data, offsets in pieces(batch.column(batch.num_columns - 1)):
+            for low, high, data, offsets in pieces(batch.column(at)):
                 m = high - low
                 words = _runs(data, offsets)
                 rows = np.repeat(np.arange(m), np.diff(words.bounds))
@@ -296,9 +294,8 @@ def identify(docs: DataFrame, network: Network | None, language: str = "lang_pre
                 for i in np.flatnonzero(~plain):
                     if not (positions[i] and _has_letter(data[offsets[i] : offsets[i + 1]])):
                         best[i], top[i] = len(network.languages), 0.0
-                kept = batch.slice(low, m).columns[:-1]
+                kept = batch.slice(low, m).columns
                 yield pa.RecordBatch.from_arrays([*kept, kinds.take(pa.array(best)), pa.array(top)], names=names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    with_text = docs.select("*", F.col("text").cast("string").alias(key))
-    return with_text.mapInArrow(run, f"{schema}, `{language}` string, `{score}` double")
+    return docs.mapInArrow(run, f"{schema}, `{language}` string, `{score}` double")
