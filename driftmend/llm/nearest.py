@@ -1,8 +1,9 @@
 """Nearest neighbours by inner product along shifted Hilbert curves.
 
 Every vector is projected to a few random dimensions, shifted, and ordered by its place on a Hilbert curve; several
-projections and shifts give several orderings. Each ordering is cut into blocks by quantiles, and a query is compared
-with the blocks around its own place. What the orderings find is merged, scored on the original vectors and ranked.
+projections and shifts give several orderings. Vectors of one place are ordered by a hash of their id, so that each
+ordering is cut into blocks of about BLOCK rows however many share a place. A query is compared with all blocks of its
+own place and those around. What the orderings find is merged, scored on the original vectors and ranked.
 
 The width of the window is a share of all vectors: the least one with which a bounded sample reaches the asked recall
 against brute force. In a smaller sample neighbours are further apart, so the sample errs towards wide windows.
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftmend.llm.texts import mixed
 from driftmend.sources.sinks import staged
 
 BLOCK = 4096
@@ -123,14 +125,19 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _placed(vectors: DataFrame, curves: Curves, as_queries: bool) -> DataFrame:
-    """(curve, id, place, vector) of each vector on each curve."""
+def _spread(ids: np.ndarray, bits: int) -> np.ndarray:
+    """``bits`` bits of a hash of each id."""
+    return (mixed(ids.astype(np.int64).view(np.uint64)) & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def _placed(vectors: DataFrame, curves: Curves, as_queries: bool, spare: int) -> DataFrame:
+    """(curve, id, place, vector) of each vector on each curve; the last ``spare`` bits of place are of the id's hash."""
     shared = vectors.sparkSession.sparkContext.broadcast(curves)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, 8192) for i in range(0, batch.num_rows, 8192)):
-                places = shared.value.places(_matrix(part.column(1)), as_queries)
+                places = shared.value.places(_matrix(part.column(1)), as_queries) << spare | _spread(part.column(0).to_numpy(), spare)[:, None]
                 for c in range(places.shape[1]):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(places), c, np.int32)), part.column(0), pa.array(places[:, c]), part.column(1)], names=["curve", "id", "place", "vector"]
@@ -139,6 +146,20 @@ def _placed(vectors: DataFrame, curves: Curves, as_queries: bool) -> DataFrame:
     return vectors.select("id", "vector").mapInArrow(run, "curve int, id long, place long, vector array<double>")
 
 
+def _reached(cuts: np.ndarray, n_blocks: int, chunk: int, side: int, spare: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last block that each chunk of query blocks is compared with.
+
+    These are ``side`` blocks around all blocks of the places that the chunk holds.
+    """
+    first = np.arange(0, n_blocks, chunk)
+    last = np.minimum(first + chunk, n_blocks) - 1
+    begin = np.where(first > 0, cuts[np.maximum(first - 1, 0)] >> spare << spare, np.iinfo(np.int64).min)
+    end = np.where(last < n_blocks - 1, cuts[np.minimum(last, n_blocks - 2)] | ((1 << spare) - 1), np.iinfo(np.int64).max)
+    low = np.minimum(np.searchsorted(cuts, begin, "right"), first) - side
+    high = np.maximum(np.searchsorted(cuts, end, "right"), last) + side
+    return np.maximum(low, 0), np.minimum(high, n_blocks - 1)
+
+
 def _compared(keep: int):
     """The best ``keep`` candidates of each query of a cell; a cell has about a block of each."""
 
@@ -195,47 +216,72 @@ def nearest(
     share = window_share(shape, points, min(k, max(1, len(points) - 1)), recall)
 
     # Cuts by quantiles of each curve; a block's rows are about BLOCK, a cell is some blocks of queries by one block.
-    places = staged(_placed(each, shape, False), "places")
+    # Cuts are exact to 53 bits, so hashes of more bits could not cut a place further.
+    spare = max(0, min(31, 53 - dimensions * bits))
+    places = staged(_placed(each, shape, False, spare), "places")
     n_blocks = max(LEAST_BLOCKS, -(-stats.n // BLOCK))
     inner = F.array(*[F.lit(i / n_blocks) for i in range(1, n_blocks)])
     cuts = places.groupBy("curve").agg(F.percentile_approx("place", inner, 20 * n_blocks).alias("cuts")).collect()
-    shared = spark.sparkContext.broadcast({r.curve: np.array(r.cuts, np.int64) for r in cuts})
     side = int(np.ceil(share * n_blocks))
     chunk = 2
+    cuts = {r.curve: np.array(r.cuts, np.int64) for r in cuts}
+    # Queries lie elsewhere than vectors do: those of a chunk are dealt to as many parts as they fill.
+    wanted = staged(_placed(each.where("asked"), shape, True, spare), "asked")
+    n_parts = {c: np.zeros(-(-n_blocks // chunk), np.int64) for c in cuts}
+    shared = spark.sparkContext.broadcast(cuts)
+
+    def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            curve, place = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            own = np.zeros(len(curve), np.int64)
+            for c, edges in shared.value.items():
+                own[curve == c] = np.searchsorted(edges, place[curve == c], "right") // chunk
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own)], names=["curve", "chunk"])
+
+    for r in wanted.select("curve", "place").mapInArrow(chunks_of, "curve int, chunk long").groupBy("curve", "chunk").count().collect():
+        n_parts[r.curve][r.chunk] = -(-r["count"] // (chunk * BLOCK))
+    windows = spark.sparkContext.broadcast({c: (own, *_reached(own, n_blocks, chunk, side, spare), n_parts[c]) for c, own in cuts.items()})
 
     def dealt(as_queries: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 curve, place = batch.column("curve").to_numpy(), batch.column("place").to_numpy()
-                block = np.zeros(len(curve), np.int64)
-                for c, own in shared.value.items():
-                    block[curve == c] = np.searchsorted(own, place[curve == c], "right")
+                block, low, high = (np.zeros(len(curve), np.int64) for _ in range(3))
                 # A chunk of query blocks is compared with all blocks that any of its queries' windows reaches.
-                if as_queries:
-                    first = block // chunk * chunk
-                    low, high = np.maximum(first - side, 0), np.minimum(first + chunk - 1 + side, n_blocks - 1)
-                else:
-                    low = np.maximum(block - side - chunk + 1, 0) // chunk
-                    high = np.minimum(block + side, n_blocks - 1) // chunk
-                    inside = lambda x: (block >= x * chunk - side) & (block <= x * chunk + chunk - 1 + side)  # noqa: E731, B023
-                    low = np.where(inside(low), low, low + 1)
+                for c, (own, begin, end, _) in windows.value.items():
+                    on = curve == c
+                    block[on] = np.searchsorted(own, place[on], "right")
+                    if as_queries:
+                        low[on], high[on] = begin[block[on] // chunk], end[block[on] // chunk]
+                    else:
+                        low[on], high[on] = np.searchsorted(end, block[on], "left"), np.searchsorted(begin, block[on], "right") - 1
                 times = high - low + 1
                 row = np.repeat(np.arange(len(curve)), times)
                 other = np.repeat(low, times) + np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
                 own = (block // chunk if as_queries else block)[row]
                 chunks, blocks = (own, other) if as_queries else (other, own)
+                times = np.zeros(len(row), np.int64)
+                for c, (_, _, _, parts) in windows.value.items():
+                    on = curve[row] == c
+                    times[on] = parts[chunks[on]]
+                if as_queries:
+                    share = _spread(batch.column("id").to_numpy(), 62)[row] // (1 << 31) % times
+                else:
+                    again = np.repeat(np.arange(len(row)), times)
+                    share = np.arange(len(again)) - np.repeat(np.cumsum(times) - times, times)
+                    row, chunks, blocks = row[again], chunks[again], blocks[again]
                 for i in range(0, len(row), 8192):
                     part = pa.array(row[i : i + 8192])
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("curve").take(part), pa.array(chunks[i : i + 8192]), pa.array(blocks[i : i + 8192]), batch.column("id").take(part), batch.column("vector").take(part)],
-                        names=["curve", "chunk", "block", "id", "vector"],
+                        [batch.column("curve").take(part), pa.array(chunks[i : i + 8192]), pa.array(blocks[i : i + 8192]), pa.array(share[i : i + 8192]), batch.column("id").take(part), batch.column("vector").take(part)],
+                        names=["curve", "chunk", "block", "share", "id", "vector"],
                     )
 
         return run
 
-    cell = "curve int, chunk long, block long, id long, vector array<double>"
-    asked = _placed(each.where("asked"), shape, True).mapInArrow(dealt(True), cell).groupBy("curve", "chunk", "block")
-    among = places.mapInArrow(dealt(False), cell).groupBy("curve", "chunk", "block")
+    cell = "curve int, chunk long, block long, share long, id long, vector array<double>"
+    asked = wanted.mapInArrow(dealt(True), cell).groupBy("curve", "chunk", "block", "share")
+    among = places.mapInArrow(dealt(False), cell).groupBy("curve", "chunk", "block", "share")
     keep = k + 1 + SPARE
     found = asked.cogroup(among).applyInArrow(_compared(keep), "query long, candidate long, score double")
     merged = found.groupBy("query", "candidate").agg(F.max("score").alias("score"))

@@ -69,3 +69,33 @@ def test_few_rows_and_none(spark):
     assert nearest(table(spark, [(0, [1.0])]), F.lit(True)).collect() == []
     assert nearest(table(spark, []), F.lit(True)).collect() == []
     assert nearest(table(spark, [(0, None)]), F.lit(True)).collect() == []
+
+
+def test_a_third_of_the_rows_in_one_jittered_cluster(spark, monkeypatch):
+    from driftmend.llm import nearest as module
+
+    compared = module._compared
+
+    def bounded(keep):
+        inner = compared(keep)
+
+        def run(left, right):
+            assert left.num_rows <= 4 * 64 and right.num_rows <= 2 * 64, (left.num_rows, right.num_rows)
+            return inner(left, right)
+
+        return run
+
+    monkeypatch.setattr(module, "BLOCK", 64)
+    monkeypatch.setattr(module, "_compared", bounded)
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(1800, 16))
+    x[::3] = draw.normal(size=16) + 1e-4 * draw.normal(size=(600, 16))
+    x = x.astype(np.float32).astype(float)
+    rows = nearest(table(spark, list(enumerate(x.tolist()))), F.col("vec_id") % 3 == 0, k=10).collect()
+    assert len(rows) == 600 * 10
+    hits = 0
+    for q in range(0, 1800, 3):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += len({r.vec_id for r in rows if r.query_id == q} & set(np.argsort(-scores)[:10].tolist()))
+    assert hits / len(rows) >= 0.95
