@@ -41,15 +41,22 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of texts that share 80 % of their 5-word shingles, the one with the smallest id.
 
-    Rows with one id count as one document, and the text that hashes lowest stays; rows without an id all stay.
+    Texts under one id are compared like any others, and of equal ones one stays; rows without an id come last in a
+    group. Rows with neither an id nor a word all stay.
     """
     small_batches(spark)
-    found = near_duplicates(docs, shingle=5, percent=80, sketch=SetSketch(rows=4))
-    kept = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept_id")).distinct()
-    rank = _free(docs, "_rank")
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    named = docs.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").withColumn(rank, F.row_number().over(one))
-    return named.where(F.col(rank) == 1).select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    node = F.xxhash64("doc_id", "text")
+    found = near_duplicates(docs.select(node.alias("doc_id"), "text"), shingle=5, percent=80, sketch=SetSketch(rows=4))
+    ids = docs.select(node.alias("_node"), F.col("doc_id").alias("_id")).distinct()
+    each = found.select(F.col("doc_id").alias("_node"), "component_id", "n_shingles").distinct().join(ids, "_node")
+    order = F.struct(F.col("_id").isNull().alias("unnamed"), "_id", "_node", "n_shingles")
+    kept = each.groupBy("component_id").agg(F.min(order).alias("first")).select(
+        F.col("first._node").alias("_kept_node"), (F.col("first.unnamed") & (F.col("first.n_shingles") == 0)).alias("_kept_all")
+    )
+    rank, own = _free(docs, "_rank"), _free(docs, "_node")
+    one = Window.partitionBy(own).orderBy(F.xxhash64("text"))
+    named = docs.withColumn(own, node).join(kept, F.col(own) == F.col("_kept_node")).withColumn(rank, F.row_number().over(one))
+    return named.where((F.col(rank) == 1) | F.col("_kept_all")).select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

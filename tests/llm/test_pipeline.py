@@ -75,3 +75,12 @@ def test_stages_are_registered():
     names = entry.queries()
     assert "pipeline" in names and [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "decontamination", "secrets", "packing"]
     assert all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 11))
+
+
+def test_texts_under_one_id_or_none_are_documents_of_their_own(spark, documents):
+    draw = random.Random(9)
+    a, b, c, d = (sentence(draw, "abcdehiost") for _ in range(4))
+    rows = [(3, a), (5, a), (5, b), (6, c), (7, c), (6, d), (None, d), (None, b + " more"), (None, c[::-1]), (None, c[::-1]), (None, None), (None, None), (8, ""), (8, "")]
+    found = corpus_pipeline.drop_near_duplicates(spark, documents(rows), "").collect()
+    expected = [(3, a), (5, b), (6, c), (6, d), (None, c[::-1]), (None, None), (None, None), (8, "")]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in found))) == sorted(map(str, expected))
