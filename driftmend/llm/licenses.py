@@ -7,9 +7,13 @@ Single lines are looked up as well, among known notices. All work is DataFrame e
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftmend.sources.sinks import staged
+
 # Spellings that licence matching guidelines treat as one.
 SPELLINGS = (
     ("licence", "license"), ("https", "http"), ("copyright holders", "copyright holder"), ("copyright owners", "copyright holder"),
@@ -97,6 +101,22 @@ NOTICES = (
     ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
 )
 
+# Standard headers and notices that the SQL form does not list, as (identifier, line).
+MORE_NOTICES = (
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License");'),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *((name, f"SPDX-License-Identifier: {name}") for name in ("0BSD", "BSD-2-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "ISC", "Unlicense", "Zlib")),
+    *((name, f"SPDX-License-Identifier: {name}-{end}") for name in ("AGPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0") for end in ("only", "or-later")),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-or-later"),
+)
+#: Longer licences, a file each; what follows the end of their terms may be left out.
+TEXTS = Path(__file__).parent / "license_texts"
+END = "END OF TERMS AND CONDITIONS"
+
 MARKS = "‘’“”–— ©"
 _PUNCTUATION = "[\\x00-/:-`{-\\x7f]+"
 _COPYRIGHT = "^ *(copyright ([0-9]{4}|c( |$))|c [0-9]{4}|all rights reserved *$)"
@@ -119,16 +139,29 @@ def _whole(lines: Column) -> Column:
     return F.array_join(F.filter(lines, lambda x: x != ""), " ")
 
 
-def known_digests(spark: SparkSession) -> DataFrame:
-    """(digest, part, license): digests of LICENSES for whole texts (part 0) and of NOTICES for lines (part 1)."""
-    rows = [F.struct(F.lit(part).alias("part"), F.lit(name).alias("license"), F.lit(text).alias("text")) for part, texts in enumerate((LICENSES, NOTICES)) for name, text in texts]
-    table = spark.range(1).select(F.explode(F.array(*rows)).alias("k")).select("k.*")
-    return table.select(F.sha2(_whole(_lines(F.col("text"))).cast("binary"), 256).alias("digest"), "part", "license").distinct()
+def known_texts(spark: SparkSession) -> DataFrame:
+    """(part, license, text): LICENSES and the files of TEXTS as whole texts (part 0), NOTICES and MORE_NOTICES as lines (part 1)."""
+    rows = [(0, *x) for x in LICENSES] + [(1, *x) for x in (*NOTICES, *MORE_NOTICES)]
+    for path in sorted(TEXTS.glob("*.txt")):
+        text = path.read_text("utf-8")
+        rows.append((0, path.stem, text))
+        if END in text:
+            rows.append((0, path.stem, text[: text.index(END) + len(END)]))
+    return spark.createDataFrame(rows, "part int, license string, text string")
 
 
-def license_digests(docs: DataFrame) -> DataFrame:
+def known_digests(known: DataFrame) -> DataFrame:
+    """(digest, part, license) of ``known`` (part, license, text), the first name of each; texts without a word are left out."""
+    whole = known.select(_whole(_lines(F.col("text"))).alias("whole"), F.col("part").cast("int"), "license")
+    return whole.where("whole <> '' AND license IS NOT NULL").select(F.sha2(F.col("whole").cast("binary"), 256).alias("digest"), "part", "license").groupBy("digest", "part").agg(F.min("license").alias("license"))
+
+
+def license_digests(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(doc_id, digest, license, n_notices, notices) of each row of ``docs`` (doc_id, text, ...).
 
+    ``known`` (part, license, text) are the known whole texts (part 0) and notices of one line (part 1), by default
+    those of ``known_texts``; a table of any size, written once as digests so that the planner knows its size.
+
     digest is the SHA-256 of the whole text's canonical form, license the known licence whose text that is, or null.
     notices are line:license of the lines, counted from 1, that are known notices, in order and joined by commas. A
     null or empty text has the digest of no text and no licence. Repeated rows each get their row, a null doc_id is
@@ -140,8 +173,8 @@ def license_digests(docs: DataFrame) -> DataFrame:
     each = each.where("line = 0 OR unit <> ''").select(
         "doc_id", "key", "line", F.sha2(F.col("unit").cast("binary"), 256).alias("digest"), F.when(F.col("line") == 0, 0).otherwise(1).alias("part")
     )
-    # As many rows as LICENSES and NOTICES have.
-    found = each.join(F.broadcast(known_digests(docs.sparkSession)), ["digest", "part"], "left").where("line = 0 OR license IS NOT NULL")
+    digests = staged(known_digests(known_texts(docs.sparkSession) if known is None else known), "known")
+    found = each.join(digests, ["digest", "part"], "left").where("line = 0 OR license IS NOT NULL")
     # Rows with the same id and text are folded and counted.
     notice = F.when(F.col("line") > 0, F.struct("line", "license"))
     folded = found.groupBy("doc_id", "key").agg(

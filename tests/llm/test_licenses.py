@@ -42,3 +42,19 @@ def test_long_texts_empty_table_and_no_python(spark, documents):
     result = license_digests(documents([]))
     assert result.collect() == []
     assert not re.search("Python|Pandas|Arrow", result._jdf.queryExecution().executedPlan().toString())
+
+
+def test_long_licences_headers_and_tables_of_ones_own(spark, documents):
+    from driftmend.llm.licenses import END, TEXTS
+
+    names = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0", "Unlicense", "BSL-1.0"]
+    texts = [(TEXTS / f"{name}.txt").read_text("utf-8") for name in names]
+    header = '# Copyright 2020 Someone\n#\n# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not use this file'
+    rows = [*enumerate(texts), (100, "  " + texts[0].partition(END)[0].replace("\n", "\r\n") + END), (101, header)]
+    found = {r.doc_id: r for r in license_digests(documents(rows)).collect()}
+    assert [found[i].license for i in range(len(names))] == names
+    assert found[100].license == "Apache-2.0" and found[101].notices == "3:Apache-2.0"
+    known = spark.createDataFrame([(0, "Own-1.0", "Do  as you please."), (1, "Own-1.0", "Under Own 1.0"), (0, "Other", "do as you please")], "part int, license string, text string")
+    found = license_digests(documents([(1, "Do as YOU please"), (2, "x\nunder own 1.0"), (3, texts[0])]), known).collect()
+    assert sorted((r.doc_id, r.license, r.notices) for r in found if r.doc_id < 3) == [(1, "Other", ""), (2, None, "2:Own-1.0")]
+    assert next(r for r in found if r.doc_id == 3).license is None
