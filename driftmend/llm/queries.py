@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from driftmend.llm import language, licenses
 from driftmend.llm.decontamination import decontaminated
+from driftmend.llm.filter_audit import filter_interactions
 from driftmend.llm.near_duplicates import near_duplicates
 from driftmend.llm.nearest import nearest
 from driftmend.llm.packing import packed, token_pieces
@@ -133,3 +134,49 @@ def op10_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_license_digests"] = licenses.oracle_sql()
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents, in each of their 120 orders."""
+    return filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first FROM docs GROUP BY text),
+marked AS (
+    SELECT part, doc_id, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+           100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS c,
+           regexp_matches(text, '[#$%&*|]') AS d, coalesce(first < doc_id, false) AS e
+    FROM docs JOIN firsts USING (text)),
+judged AS (
+    SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS mask,
+           coalesce(q.good, false) AS good, coalesce(q.toxic, false) AS toxic
+    FROM marked LEFT JOIN (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id) q USING (doc_id)),
+counted AS (
+    SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+    FROM judged GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+    SELECT [p.bit, q.bit, r.bit, s.bit, t.bit] AS bits, p.f || q.f || r.f || s.f || t.f AS filter_order
+    FROM letters p, letters q, letters r, letters s, letters t WHERE p.bit + q.bit + r.bit + s.bit + t.bit = 31
+      AND len(list_distinct([p.bit, q.bit, r.bit, s.bit, t.bit])) = 5),
+steps AS (
+    SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+    FROM orders, (SELECT unnest(range(1, 6))::INT AS step)),
+lines AS (
+    SELECT part, filter_order, step, own,
+           coalesce(sum(n) FILTER (WHERE mask & (before + own) = 0), 0)::BIGINT AS kept,
+           coalesce(sum(n) FILTER (WHERE mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS removed,
+           coalesce(sum(n) FILTER (WHERE mask & before <> 0 AND mask & own <> 0), 0)::BIGINT AS redundant,
+           coalesce(sum(n) FILTER (WHERE mask = own), 0)::BIGINT AS unique_fails,
+           coalesce(sum(good) FILTER (WHERE mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS good_lost,
+           coalesce(sum(toxic) FILTER (WHERE mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS toxic_lost
+    FROM counted, steps GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM lines
+"""
