@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftmend.llm import language, licenses
+from driftmend.llm import centroids, language, licenses
 from driftmend.llm.decontamination import decontaminated
 from driftmend.llm.filter_audit import filter_interactions
 from driftmend.llm.near_duplicates import near_duplicates
@@ -17,6 +17,7 @@ from driftmend.llm.packing import packed, token_pieces
 from driftmend.llm.quality import learned, remainder, score_quality
 from driftmend.llm.resharding import reshard_documents
 from driftmend.llm.secrets import scan
+from driftmend.llm.substrings import without_repeats
 from driftmend.llm.suffix_tree import suffix_tree_scores
 from driftmend.llm.texts import small_batches
 
@@ -180,3 +181,35 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
        (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
 FROM lines
 """
+
+
+@query
+def op11_equal_average_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors in eight clusters, after ten rounds in whole numbers."""
+    return centroids.clustered(table(spark, sf_dir, "embeddings"), k=8, rounds=10)
+
+
+ORACLES["op11_equal_average_clusters"] = centroids.oracle_sql()
+
+
+@query
+def op12_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of windows of 35 that stand elsewhere too."""
+    found = without_repeats(table(spark, sf_dir, "documents"), size=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op12_difference_cover"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+    SELECT r, p, array_to_string(w[p:p + 34], ' ') AS words
+    FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS p FROM docs WHERE len(w) >= 35)),
+again AS (SELECT r, p FROM windows JOIN (SELECT words FROM windows GROUP BY words HAVING count(*) > 1) USING (words)),
+covered AS (SELECT DISTINCT r, unnest(range(p, p + 35)) AS place FROM again),
+kept AS (
+    SELECT r, string_agg(word, ' ' ORDER BY place) AS words
+    FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM docs) ANTI JOIN covered USING (r, place) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM docs LEFT JOIN (SELECT r, count(*) AS n FROM covered GROUP BY r) USING (r) LEFT JOIN kept USING (r)
+"""
