@@ -26,6 +26,7 @@ from driftmend.operators.rows import (
     status_counts,
 )
 from driftmend.operators.sync import incremental_sync, rows_to_delete, rows_to_insert, sync, sync_candidates
+from driftmend.operators.three_way import keep_base, merge_three_way, three_way_status, true_conflicts
 from driftmend.plans.audit import audit, audit_metrics, reverse_check
 from driftmend.plans.facts import column_facts, with_affected
 from driftmend.plans.sync import run_sync
@@ -60,6 +61,7 @@ __all__ = [
     "differing_buckets",
     "digest_diff",
     "incremental_sync",
+    "keep_base",
     "key_presence",
     "key_profile",
     "late_rows",
@@ -70,6 +72,7 @@ __all__ = [
     "load_catalog",
     "map_schema",
     "merge_bidirectional",
+    "merge_three_way",
     "missing_keys",
     "observed_nullability",
     "orphan_keys",
@@ -93,6 +96,8 @@ __all__ = [
     "sync_candidates",
     "synced_state",
     "table_exists",
+    "three_way_status",
+    "true_conflicts",
     "unsynced_count",
     "with_affected",
     "write_findings",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from driftmend.functions.names import col, cols, resolve
 from driftmend.functions.sides import Sides, keep_by_key
-from driftmend.functions.types import comparable
+from driftmend.functions.types import comparable, has_map
 from driftmend.operators.rows import pair_sides
 from driftmend.operators.sync import same_shape
 
@@ -30,8 +30,8 @@ def merge_bidirectional(
 
     ``latest`` takes the side with the greater ``version``: on a tie, or with neither known, target's;
     with one known, that one's. ``fill_nulls`` takes target's row with its NULLs filled from given.
-    Where a key has several rows, all rows of the winning side stay; ``fill_nulls`` then fills from
-    the least non-NULL value given has for the key.
+    Where a key has several rows, all rows of the winning side stay; ``fill_nulls`` then fills each NULL from
+    the least value other than NULL that given has in that column for the key.
     """
     sides = same_shape(target, given, keys)
     if policy not in POLICIES:
@@ -93,27 +93,38 @@ def _latest(sides: Sides, version: str) -> DataFrame:
     )
 
 
+def _least(sides: Sides, name: str) -> Column:
+    """The least value that is not NULL."""
+    dtype = sides.types[name]
+    return F.min_by(col(name), F.when(col(name).isNotNull(), comparable(col(name), dtype))) if has_map(dtype) else F.min(col(name))
+
+
 def _fill_nulls(sides: Sides) -> DataFrame:
-    """Only target's rows with a NULL to fill are joined; complete rows pass through unshuffled."""
-    added = keep_by_key(sides.given, sides.target, sides.keys, "left_anti")
+    return filled_from(sides).unionByName(keep_by_key(sides.given, sides.target, sides.keys, "left_anti"))
+
+
+def filled_from(sides: Sides) -> DataFrame:
+    """Target's rows, with every NULL filled that given has a value for, each column from the least of its key.
+
+    Target's rows of a key may lack different columns, and no row of given need have them all. Only rows with
+    a NULL to fill are joined; complete rows pass through unshuffled.
+    """
     fillable = [v for v in sides.values if sides.target.schema[v].nullable]
     if not fillable:
-        return sides.target.unionByName(added)
+        return sides.target
     gap = F.lit(False)
     for v in fillable:
         gap = gap | col(v).isNull()
     complete, gaps = sides.target.where(~gap), sides.target.where(gap)
     wanted = keep_by_key(sides.given, gaps, sides.keys, "left_semi")
-    # All of a row's gaps are filled from one row of given: the least, where a key has several.
-    row = F.struct(*[col(v).alias(f"_fill_{i}") for i, v in enumerate(fillable)])
-    form = F.struct(*[comparable(col(v), sides.types[v]).alias(f"_form_{i}") for i, v in enumerate(fillable)])
-    theirs = wanted.groupBy(*[col(k).alias(f"_key_{i}") for i, k in enumerate(sides.keys)]).agg(F.min_by(row, form).alias("_row"))
-    theirs = theirs.select(*[f"_key_{i}" for i in range(len(sides.keys))], "_row.*")
+    theirs = wanted.groupBy(*[col(k).alias(f"_key_{i}") for i, k in enumerate(sides.keys)]).agg(
+        *[_least(sides, v).alias(f"_fill_{i}") for i, v in enumerate(fillable)]
+    )
     same = [col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(sides.keys)]
     at = {v: i for i, v in enumerate(fillable)}
     filled = gaps.join(theirs, on=reduce(Column.__and__, same), how="left").select(
         *cols(sides.keys),
         *[F.coalesce(col(v), F.col(f"_fill_{at[v]}")).alias(v) if v in at else col(v) for v in sides.values],
     )
-    return complete.select(*cols(filled.columns)).unionByName(filled).unionByName(added)
+    return complete.select(*cols(filled.columns)).unionByName(filled)
 
