@@ -29,6 +29,7 @@ from driftmend.operators.sync import incremental_sync, rows_to_delete, rows_to_i
 from driftmend.operators.three_way import keep_base, merge_three_way, three_way_status, true_conflicts
 from driftmend.plans.audit import audit, audit_metrics, reverse_check
 from driftmend.plans.facts import column_facts, with_affected
+from driftmend.plans.files import run_file_sync
 from driftmend.plans.sync import run_sync
 from driftmend.sources.catalog import (
     Catalog,
@@ -40,6 +41,7 @@ from driftmend.sources.catalog import (
     table_exists,
 )
 from driftmend.sources.contract import Namespace, Reference, TableContract
+from driftmend.sources.manifest import file_changes, read_state, register_files
 from driftmend.sources.readers import read_database, read_files, read_jdbc
 from driftmend.sources.sinks import copy_table, write_findings
 from driftmend.streaming.arrivals import late_rows, read_arrivals, rejected_rows, stream_sync, synced_state
@@ -60,6 +62,7 @@ __all__ = [
     "copy_table",
     "differing_buckets",
     "digest_diff",
+    "file_changes",
     "incremental_sync",
     "keep_base",
     "key_presence",
@@ -82,12 +85,15 @@ __all__ = [
     "read_database",
     "read_files",
     "read_jdbc",
+    "read_state",
+    "register_files",
     "rejected_rows",
     "reverse_check",
     "row_diff",
     "row_pairs",
     "rows_to_delete",
     "rows_to_insert",
+    "run_file_sync",
     "run_sync",
     "scan_keys",
     "status_counts",
