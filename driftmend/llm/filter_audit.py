@@ -22,6 +22,8 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftmend.sources.sinks import staged
+
 # The filters in the order of their bits.
 FILTERS = "ABCDE"
 SUBSETS = 1 << len(FILTERS)
@@ -48,17 +50,16 @@ def failures(text: Column) -> Column:
 def repeated(rows: DataFrame) -> DataFrame:
     """Rows of (doc_id, text, _one, _two, ...) whose text stands under a smaller id as well.
 
-    ``_one`` and ``_two`` are hashes of the text. Those with one id only are found first, from ids and hashes alone, so
-    that only texts which may repeat are shuffled; each task folds the copies it has of a text before that, and the
-    join keeps or drops rows, so that adaptive execution splits those of a hot text.
+    ``_one`` and ``_two`` are hashes of the text. Those with several ids are found first, from ids and hashes alone, and
+    only texts with such hashes are compared; each task folds the copies it has of a text. What is looked up is written
+    before each join: its size is then known, and as the joins keep or drop rows, adaptive execution splits those of a hot text.
     """
     same = ["_one", "_two"]
     several = rows.groupBy(*same).agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last")).where("_first < _last")
-    suspects = rows.join(several.select(*same), same, "left_semi")
-    firsts = suspects.groupBy(*same, "text").agg(F.min("doc_id").alias("_first"))
-    firsts = firsts.select(F.col("_one").alias("_1"), F.col("_two").alias("_2"), F.col("text").alias("_text"), "_first")
-    match = (F.col("_one") == F.col("_1")) & (F.col("_two") == F.col("_2")) & (F.col("text") == F.col("_text"))
-    return suspects.join(firsts, match & (F.col("_first") < F.col("doc_id")), "left_semi")
+    suspects = staged(rows.join(staged(several.select(*same), "repeated-hashes"), same, "left_semi"), "suspects")
+    first = staged(suspects.groupBy(*same, "text").agg(F.min("doc_id").alias("_first")), "first-ids")
+    match = [suspects[c] == first[c] for c in (*same, "text")] + [first["_first"] < suspects["doc_id"]]
+    return suspects.join(first, match, "left_semi")
 
 
 def audited_rows(docs: DataFrame) -> DataFrame:
