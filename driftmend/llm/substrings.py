@@ -3,23 +3,26 @@
 A window is ``size`` words in a row. A difference cover of a period is a set of residues such that any two places can
 be moved on by less than a period to stand on residues of the set both. So two equal windows, wherever they begin, share
 a run of ``size - period + 1`` words that begins at a cover position of either text: an aligned anchor. Only such anchors
-are hashed and counted; an anchor that occurs once needs no look at the windows around it.
+are hashed and compared: they are sorted across tasks, where equal ones stand next to each other, and a text gets back
+those of its anchors that occur again. As texts are part of the order, an anchor in any share of the texts
+is dealt to as many tasks; the runs at a task's ends, whose neighbours it does not see, count as occurring again.
 
-Where an anchor occurs again, it is extended: the windows that hold it are compared in full, by 128 bits of hash, in
-one aggregation in which equal windows fold to a count. Windows that turn out to stand alone are told by that
-aggregation itself, text and place; all other candidates are repeated. No occurrences are paired, so a passage may stand in
-any share of the texts.
+Where an anchor occurs again, it is extended: the windows that hold it are compared in full, by 96 bits of hash, in
+one aggregation in which equal windows fold to a count. The windows that turn out to stand alone are what a text gets
+back; its other candidates are repeated. No occurrences are paired.
 
-Tasks know repeated anchors from a bitmap of fixed size. It lets some windows through that share no anchor, which the
-full comparison then sorts out; a larger corpus fills it up and makes it pass more, never less.
+Equal texts (128 bits of hash) are folded to one first. Every window of a text that several documents have stands elsewhere, so
+of those documents nothing is kept, and their number is never gathered; each other text is one document. All of this
+reads one shuffle of the texts.
 
 Defined cases: a NULL text has no words; texts of fewer than ``size`` words keep all of them; a repeated row is
-another document, so each of its windows stands elsewhere; rows without an id are documents like others; an empty table gives no rows.
+another document, so each of its windows stands elsewhere; rows without an id are documents like others; an empty table gives no
+rows. A task holds some tens of bytes for each word of its longest text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -34,13 +37,13 @@ from driftmend.sources.sinks import staged
 # Perfect difference covers, by period.
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
 
-#: Bits of the map of repeated anchors (8 MB), and of one row of the aggregation that makes it.
-BITS = 1 << 26
-ROW_BITS = 1 << 15
 #: Window starts looked at together.
 CHUNK = 1 << 17
 BASES = numbers(41, 3) | np.uint64(1)
 
+KEYS = ["key_1", "key_2"]
+RESULT = ["doc_id", "n_words", "n_removed", "kept_text"]
+
 
 @dataclass(frozen=True)
 class Cover:
@@ -102,6 +105,7 @@ class Chunk:
 
     first: int
     hashes: np.ndarray
+    row: np.ndarray
     place: np.ndarray
     left: np.ndarray
     whole: np.ndarray
@@ -122,71 +126,110 @@ def chunks(words: Words, size: int) -> Iterator[Chunk]:
         index = np.arange(first, end)
         row = np.searchsorted(words.bounds, index, "right") - 1
         begin, after = words.bounds[row], words.bounds[row + 1]
-        yield Chunk(first, hashes[first:end], index - begin, after - index, after - begin, min(CHUNK, len(hashes) - first))
+        yield Chunk(first, hashes[first:end], row, index - begin, after - index, after - begin, min(CHUNK, len(hashes) - first))
+
+
+def _lists(column: pa.Array, low: int, high: int) -> list[np.ndarray]:
+    """The lists of 64-bit numbers of some rows; a NULL is an empty one."""
+    part = column.slice(low, high - low)
+    cells = part.flatten().to_numpy().view(np.uint64)
+    ends = np.cumsum([0, *(n or 0 for n in part.value_lengths().to_pylist())])
+    return [cells[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
+def _among(values: np.ndarray, rows: np.ndarray, known: list[np.ndarray]) -> np.ndarray:
+    """Whether each value is among those known of its row; ``rows`` ascends."""
+    out = np.zeros(len(values), bool)
+    present, begins = np.unique(rows, return_index=True)
+    ends = np.append(begins, len(rows))[1:]
+    for r, a, b in zip(present.tolist(), begins.tolist(), ends.tolist(), strict=True):
+        if len(known[r]):
+            out[a:b] = np.isin(values[a:b], known[r])
+    return out
 
 
-def candidates(chunk: Chunk, cover: Cover, passes: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, first hash, second hash) of each window with an anchor that passes; the word counted from the chunk's first."""
+def candidates(chunk: Chunk, cover: Cover, again: list[np.ndarray]) -> np.ndarray:
+    """The words at which windows begin that hold an anchor of the row's ``again``; counted from the chunk's first word."""
     anchors, there = chunk.anchors(cover)
+    at = np.flatnonzero(there)
+    there[at] = _among(anchors[at], chunk.row[at], again)
     flagged = np.zeros(len(anchors) + 1, np.int64)
-    there[there] = passes(anchors[there])
     np.cumsum(there, out=flagged[1:])
-    at = np.flatnonzero(chunk.left[: chunk.starts] >= cover.size)
-    at = at[flagged[at + cover.period] > flagged[at]]
-    if not len(at):
-        return at, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    return at, run_hashes(chunk.hashes, cover.size, 1)[at], run_hashes(chunk.hashes, cover.size, 2)[at]
+    starts = np.flatnonzero(chunk.left[: chunk.starts] >= cover.size)
+    return starts[flagged[starts + cover.period] > flagged[starts]]
 
 
-def repeated_anchors(texts: DataFrame, cover: Cover) -> np.ndarray:
-    """The bitmap of anchors that occur again. Only its bytes come to the driver."""
+def measured(texts: DataFrame, size: int) -> DataFrame:
+    """(doc_id, key_1, key_2, n_words, kept_text): the words of each document, spelt out if they are too few for a window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in pieces(batch.column(0)):
-                for chunk in chunks(words_of(data, offsets, NOT_BLANK), cover.size):
-                    anchors, there = chunk.anchors(cover)
-                    found, n = np.unique(anchors[: chunk.starts][there[: chunk.starts]], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([long_array(found), pa.array(n)], names=["anchor", "n"])
+            for low, high, data, offsets in pieces(batch.column("text")):
+                words = words_of(data, offsets, NOT_BLANK)
+                n_words = np.diff(words.bounds)
+                short = np.repeat(n_words < size, n_words)
+                kept = [t if n < size else None for t, n in zip(_kept_texts(words, offsets, ~short), n_words.tolist(), strict=True)]
+                own = [batch.column(c).slice(low, high - low) for c in ("doc_id", *KEYS)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(n_words), pa.array(kept, pa.string())], names=["doc_id", *KEYS, "n_words", "kept_text"])
 
-    counted = texts.select("text").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
-    place = F.pmod("anchor", F.lit(BITS))
-    marked = counted.where("n > 1").select((place + 1).alias("place"))
-    rows = marked.groupBy(F.bitmap_bucket_number("place").alias("row")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
-    bitmap = np.zeros(BITS // 8, np.uint8)
-    for row in rows.collect():
-        low = (row.row - 1) * ROW_BITS // 8
-        bitmap[low : low + ROW_BITS // 8] = np.frombuffer(row.bits, np.uint8)
-    return bitmap
+    return texts.mapInArrow(run, "doc_id long, key_1 long, key_2 long, n_words long, kept_text string")
 
 
-def _passing(bitmap: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
-    def passes(hashes: np.ndarray) -> np.ndarray:
-        bit = hashes & np.uint64(BITS - 1)
-        return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
+def anchors_again(folded: DataFrame, cover: Cover) -> DataFrame:
+    """(key_1, again): of each text the anchors that occur again, in it or in another."""
 
-    return passes
+    def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("key_1").to_numpy()
+            for low, _, data, offsets in pieces(batch.column("text")):
+                for chunk in chunks(words_of(data, offsets, NOT_BLANK), cover.size):
+                    anchors, there = chunk.anchors(cover)
+                    at = np.flatnonzero(there[: chunk.starts])
+                    yield pa.RecordBatch.from_arrays([long_array(anchors[at]), pa.array(keys[low + chunk.row[at]])], names=["anchor", "key_1"])
 
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of sorted rows those whose anchor a neighbour has too, and the first and the last anchor's.
 
-def lone_windows(texts: DataFrame, cover: Cover, shared) -> DataFrame:
-    """(text_key, alone): of each text the candidate windows that stand nowhere else, as (place, hash)."""
+        The last row seen waits for the one behind it.
+        """
+        first, waiting, known = None, None, False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch] if waiting is None else [waiting, batch]).combine_chunks().to_batches()[0]
+            anchors = rows.column(0).to_numpy()
+            first = anchors[0] if first is None else first
+            again = anchors == first
+            again[0] |= known
+            equal = anchors[1:] == anchors[:-1]
+            again[1:] |= equal
+            again[:-1] |= equal
+            yield rows.slice(0, len(anchors) - 1).filter(pa.array(again[:-1]))
+            waiting, known = rows.slice(len(anchors) - 1), bool(again[-1])
+        if waiting is not None:
+            yield waiting
+
+    ordered = folded.mapInArrow(emitted, "anchor long, key_1 long").repartitionByRange("anchor", "key_1").sortWithinPartitions("anchor", "key_1")
+    return ordered.mapInArrow(repeated, "anchor long, key_1 long").groupBy("key_1").agg(F.collect_set("anchor").alias("again"))
+
+
+def windows_alone(held: DataFrame, cover: Cover) -> DataFrame:
+    """(key_1, alone): the candidate windows of each text of (key_1, text, again) that stand nowhere else, by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passes = _passing(shared.value)
         for batch in batches:
-            keys = batch.column(0).to_numpy()
-            for low, _, data, offsets in pieces(batch.column(1)):
-                words = words_of(data, offsets, NOT_BLANK)
-                for chunk in chunks(words, cover.size):
-                    at, one, two = candidates(chunk, cover, passes)
-                    row = np.searchsorted(words.bounds, at + chunk.first, "right") - 1
-                    yield pa.RecordBatch.from_arrays(
-                        [long_array(one), long_array(two), pa.array(keys[low + row]), pa.array(chunk.place[at].astype(np.int32))], names=["one", "two", "text_key", "place"]
-                    )
+            keys = batch.column("key_1").to_numpy()
+            for low, high, data, offsets in pieces(batch.column("text")):
+                known = _lists(batch.column("again"), low, high)
+                for chunk in chunks(words_of(data, offsets, NOT_BLANK), cover.size):
+                    at = candidates(chunk, cover, known)
+                    if len(at):
+                        one, two = (run_hashes(chunk.hashes, cover.size, which)[at] for which in (1, 2))
+                        columns = [long_array(one), pa.array((two >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(keys[low + chunk.row[at]])]
+                        yield pa.RecordBatch.from_arrays(columns, names=["one", "two", "key_1"])
 
-    each = texts.select("text_key", "text").mapInArrow(run, "one long, two long, text_key long, place int")
-    counted = each.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n"), F.min("text_key").alias("text_key"), F.min("place").alias("place"))
-    return counted.where("n = 1").groupBy("text_key").agg(F.collect_list(F.struct("place", "one")).alias("alone"))
+    counted = held.mapInArrow(run, "one long, two int, key_1 long").groupBy("one", "two").agg(F.count(F.lit(1)).alias("n"), F.min("key_1").alias("key_1"))
+    return counted.where("n = 1").groupBy("key_1").agg(F.collect_list("one").alias("alone"))
 
 
 def _kept_texts(words: Words, offsets: np.ndarray, gone: np.ndarray) -> list[str]:
@@ -203,81 +246,46 @@ def _kept_texts(words: Words, offsets: np.ndarray, gone: np.ndarray) -> list[str
     return [spelt[a:b].rstrip(b" ").decode("utf-8", "replace") for a, b in zip(lengths[:-1].tolist(), lengths[1:].tolist(), strict=True)]
 
 
-def _judged(column: pa.Array, cover: Cover, passes: Callable, alone: pa.Array | None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list[str], np.ndarray]]:
-    """(first row, row after the last, words, removed words, kept texts, whether a row has a candidate) of each piece.
-
-    ``alone`` lists candidates that are not repeated, per row; without it no window is taken off.
-    """
-    for low, high, data, offsets in pieces(column):
-        words = words_of(data, offsets, NOT_BLANK)
-        n = len(words.starts)
-        lone_at, lone_hash = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        if alone is not None:
-            part = alone.slice(low, high - low)
-            cells = part.flatten()
-            sizes = np.array([0 if x is None else x for x in part.value_lengths().to_pylist()], np.int64)
-            lone_at = np.repeat(words.bounds[:-1], sizes) + cells.field("place").to_numpy().astype(np.int64)
-            lone_hash = cells.field("one").to_numpy().view(np.uint64)
-            order = np.argsort(lone_at, kind="stable")
-            lone_at, lone_hash = lone_at[order], lone_hash[order]
-        depth = np.zeros(n + 1, np.int64)
-        for chunk in chunks(words, cover.size):
-            at, one, _ = candidates(chunk, cover, passes)
-            at = at + chunk.first
-            spot = np.searchsorted(lone_at, at)
-            known = spot < len(lone_at)
-            spot = np.minimum(spot, max(len(lone_at) - 1, 0))
-            if len(lone_at):
-                known &= (lone_at[spot] == at) & (lone_hash[spot] == one)
-            at = at[~known]
-            depth[at] += 1
-            depth[at + cover.size] -= 1
-        gone = np.cumsum(depth[:-1]) > 0
-        removed = np.concatenate([[0], np.cumsum(gone)])
-        removed = removed[words.bounds[1:]] - removed[words.bounds[:-1]]
-        yield low, high, np.diff(words.bounds), removed, _kept_texts(words, offsets, gone), removed > 0
-
-
-KIND = "doc_id long, n_words long, n_removed long, kept_text string"
-
+def kept(told: DataFrame, cover: Cover) -> DataFrame:
+    """What is left of each row (doc_id, text, again, alone) that has a window at all."""
 
-def without_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
-    """One row per document: ``n_words``, ``n_removed`` and ``kept_text``, the words that no window covers which also
-    begins anywhere else, with one blank between them."""
-    cover = Cover(size)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    texts = texts.withColumn("text_key", F.xxhash64("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(repeated_anchors(texts, cover))
-    alone = staged(lone_windows(texts, cover, shared), "lone-windows")
-
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Documents without a candidate window."""
-        passes = _passing(shared.value)
-        for batch in batches:
-            for low, high, n_words, _, kept, found in _judged(batch.column(1), cover, passes, None):
-                rest = np.flatnonzero(~found)
-                columns = [batch.column(0).slice(low, high - low).take(pa.array(rest)), pa.array(n_words[rest]), pa.array(np.zeros(len(rest), np.int64)), pa.array([kept[i] for i in rest], pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept_text"])
-
-    def suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Documents with one, as they are."""
-        passes = _passing(shared.value)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in pieces(batch.column(1)):
+            for low, high, data, offsets in pieces(batch.column("text")):
                 words = words_of(data, offsets, NOT_BLANK)
-                found = [np.zeros(0, np.int64)]
+                again, alone = (_lists(batch.column(c), low, high) for c in ("again", "alone"))
+                depth = np.zeros(len(words.starts) + 1, np.int32)
                 for chunk in chunks(words, cover.size):
-                    found.append(candidates(chunk, cover, passes)[0] + chunk.first)
-                rows = np.unique(np.searchsorted(words.bounds, np.concatenate(found), "right") - 1)
-                yield batch.slice(low, high - low).take(pa.array(rows))
+                    at = candidates(chunk, cover, again)
+                    if len(at):
+                        at = at[~_among(run_hashes(chunk.hashes, cover.size, 1)[at], chunk.row[at], alone)] + chunk.first
+                        depth[at] += 1
+                        depth[at + cover.size] -= 1
+                gone = np.cumsum(depth[:-1]) > 0
+                removed = np.concatenate([[0], np.cumsum(gone)])[words.bounds]
+                n_words = np.diff(words.bounds)
+                columns = [batch.column("doc_id").slice(low, high - low), pa.array(n_words), pa.array(np.diff(removed)), pa.array(_kept_texts(words, offsets, gone), pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=RESULT).filter(pa.array(n_words >= cover.size))
 
-    def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passes = _passing(shared.value)
-        for batch in batches:
-            for low, high, n_words, removed, kept, _ in _judged(batch.column(1), cover, passes, batch.column(2)):
-                columns = [batch.column(0).slice(low, high - low), pa.array(n_words), pa.array(removed), pa.array(kept, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept_text"])
+    return told.select("doc_id", "text", "again", "alone").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_text string")
 
-    suspects = texts.mapInArrow(suspect, texts.schema)
-    told = suspects.join(alone, "text_key", "left").select("doc_id", "text", "alone")
-    return texts.select("doc_id", "text").mapInArrow(clean, KIND).unionByName(told.mapInArrow(final, KIND))
+
+def without_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
+    """One row per document: ``n_words``, ``n_removed`` and ``kept_text``, the words that no window covers which also
+    begins anywhere else, with one blank between them."""
+    cover = Cover(size)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    texts = texts.withColumns({"key_1": F.xxhash64("text"), "key_2": F.xxhash64(F.lit(1), "text")})
+
+    facts = staged(measured(texts, size), "measured")
+    long = facts.where(F.col("n_words") >= size)
+    classes = staged(long.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")), "classes")
+    nothing = long.join(classes.where("n > 1"), KEYS, "left_semi").select("doc_id", "n_words", F.col("n_words").alias("n_removed"), F.lit("").alias("kept_text"))
+    short = facts.where(F.col("n_words") < size).select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_text")
+
+    folded = texts.groupBy(*KEYS).agg(F.any_value("doc_id").alias("doc_id"), F.any_value("text").alias("text"), F.count(F.lit(1)).alias("n"))
+    again = classes.select(*KEYS).join(anchors_again(folded, cover), "key_1")
+    alone = classes.select(*KEYS).join(windows_alone(folded.join(again, KEYS), cover), "key_1")
+    told = folded.where("n = 1").join(again, KEYS, "left").join(alone, KEYS, "left")
+    return short.unionByName(nothing).unionByName(kept(told, cover))

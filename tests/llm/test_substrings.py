@@ -58,10 +58,29 @@ def test_agrees_with_brute_force(spark, documents, size):
     assert rows(without_repeats(documents(docs), size)) == expected(docs, size)
 
 
-def test_a_bitmap_that_passes_everything(spark, documents, monkeypatch):
-    """Windows that share no anchor are found to stand alone."""
-    docs = drawn(7, 40)
-    monkeypatch.setattr(substrings, "repeated_anchors", lambda texts, cover: np.full(substrings.BITS // 8, 255, np.uint8))
+def test_many_partitions(spark, documents):
+    """Anchors at the ends of sorted partitions, whose neighbours are elsewhere."""
+    docs = drawn(7, 60)
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert rows(without_repeats(documents(docs), 5)) == expected(docs, 5)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_texts_are_shuffled_once(spark, documents):
+    found = without_repeats(documents(drawn(9, 30)), 35)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert plan.count("ReusedExchange") >= 1
+
+
+def test_a_text_that_a_third_of_the_rows_have(spark, documents):
+    same = " ".join(f"p{i}" for i in range(80))
+    docs = [(i, same if i % 3 == 0 else f"own{i} " + " ".join(f"d{i}x{j}" for j in range(36)) + (same[:200] if i % 3 == 1 else "")) for i in range(600)]
     assert rows(without_repeats(documents(docs), 35)) == expected(docs, 35)
 
 
