@@ -30,6 +30,7 @@ from driftmend.operators.three_way import keep_base, merge_three_way, three_way_
 from driftmend.plans.audit import audit, audit_metrics, reverse_check
 from driftmend.plans.facts import column_facts, with_affected
 from driftmend.plans.files import run_file_sync
+from driftmend.plans.schema_sync import run_schema_sync, sync_schema
 from driftmend.plans.sync import run_sync
 from driftmend.sources.catalog import (
     Catalog,
@@ -94,12 +95,14 @@ __all__ = [
     "rows_to_delete",
     "rows_to_insert",
     "run_file_sync",
+    "run_schema_sync",
     "run_sync",
     "scan_keys",
     "status_counts",
     "stream_sync",
     "sync",
     "sync_candidates",
+    "sync_schema",
     "synced_state",
     "table_exists",
     "three_way_status",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from driftmend.functions.digest import row_digest
 from driftmend.functions.names import col, cols, reserve, resolve
 from driftmend.functions.sides import Sides, keep_by_key
+from driftmend.operators.keys import key_presence
 from driftmend.operators.merge import POLICIES, filled_from
 from driftmend.operators.rows import conflicts
 from driftmend.operators.sync import same_shape
@@ -109,6 +110,23 @@ def merge_three_way(
     return state.unionByName(filled_from(near))
 
 
+def key_changes(target: DataFrame, given: DataFrame, keys: Sequence[str], mode: str) -> DataFrame:
+    """The keys whose rows a sync of this ``mode`` changes in given, with ``_op``: insert, update or delete.
+
+    By key columns alone for ``insert_missing``, else by digests too. A key with several rows is changed as a whole.
+    """
+    if mode == "insert_missing":
+        found = key_presence(target, given, keys).where((F.col("n_target") > 0) & (F.col("n_given") == 0))
+        return found.drop("n_target", "n_given").withColumn("_op", F.lit("insert"))
+    status = F.col("status")
+    # Without a base a key is inserted where it is, and a conflict where both have it with unlike rows.
+    op = F.when(status == "target_inserted", "insert").when(status == "conflict", "update")
+    if mode == "mirror":
+        op = op.when(status == "given_inserted", "delete")
+    found = three_way_status(target, given, None, keys)
+    return found.withColumn("_op", op).where(F.col("_op").isNotNull()).drop("status")
+
+
 def true_conflicts(target: DataFrame, given: DataFrame, base: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """The differing cells, as :func:`~driftmend.operators.rows.conflicts` has them, of keys that both sides changed.
 

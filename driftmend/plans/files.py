@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from driftmend.functions.names import col, cols, reserve, resolve
 from driftmend.functions.sides import distinct_keys, keep_by_key
-from driftmend.operators.keys import key_presence
 from driftmend.operators.sync import MODES, same_shape
-from driftmend.operators.three_way import three_way_status
+from driftmend.operators.three_way import key_changes
 from driftmend.sources.manifest import (
     file_changes,
     file_of,
@@ -70,7 +69,7 @@ def _write(target: DataFrame, manifest: str, keys: Sequence[str], out: str, mode
             wide, narrow = sides.types[ours].simpleString(), given.schema[theirs].dataType.simpleString()
             raise ValueError(f"column {theirs} of the state is {narrow} and cannot hold {wide}; map the schema first")
 
-    changes = staged(_changes(sides.target, sides.given, sides.keys, mode), "changes")
+    changes = staged(key_changes(sides.target, sides.given, sides.keys, mode), "changes")
     gone = changes.where("_op <> 'insert'")
     files = [row.file for row in state_files(spark, manifest).select("file").collect()]
     own_keys = [spelt[k] for k in sides.keys]
@@ -97,16 +96,3 @@ def _write(target: DataFrame, manifest: str, keys: Sequence[str], out: str, mode
     kept = state_files(spark, manifest).join(touched, on="file", how="left_anti")
     write_manifest(kept.unionByName(added), schema, f"{out}/manifest")
 
-
-def _changes(target: DataFrame, given: DataFrame, keys: Sequence[str], mode: str) -> DataFrame:
-    """The keys to change, with ``_op``: insert, update or delete."""
-    if mode == "insert_missing":
-        found = key_presence(target, given, keys).where((F.col("n_target") > 0) & (F.col("n_given") == 0))
-        return found.select(*cols(keys), F.lit("insert").alias("_op"))
-    status = F.col("status")
-    # Without a base a key is inserted where it is, and a conflict where both have it with unlike rows.
-    op = F.when(status == "target_inserted", "insert").when(status == "conflict", "update")
-    if mode == "mirror":
-        op = op.when(status == "given_inserted", "delete")
-    found = three_way_status(target, given, None, keys).select(*cols(keys), op.alias("_op"))
-    return found.where(F.col("_op").isNotNull())
