@@ -29,8 +29,8 @@ from driftmend.operators.sync import incremental_sync, rows_to_delete, rows_to_i
 from driftmend.operators.three_way import keep_base, merge_three_way, three_way_status, true_conflicts
 from driftmend.plans.audit import audit, audit_metrics, reverse_check
 from driftmend.plans.facts import column_facts, with_affected
-from driftmend.plans.files import run_file_sync
-from driftmend.plans.schema_sync import run_schema_sync, sync_schema
+from driftmend.plans.files import FileSync, run_file_sync
+from driftmend.plans.schema_sync import SchemaSync, run_schema_sync, sync_schema
 from driftmend.plans.sync import run_sync
 from driftmend.sources.catalog import (
     Catalog,
@@ -49,8 +49,10 @@ from driftmend.streaming.arrivals import late_rows, read_arrivals, rejected_rows
 
 __all__ = [
     "Catalog",
+    "FileSync",
     "Namespace",
     "Reference",
+    "SchemaSync",
     "TableContract",
     "audit",
     "audit_metrics",
