@@ -26,6 +26,9 @@ KINDS: dict[str, tuple[str, str]] = {
     "cast_loss": ("MISMATCH", "WARNING"),
 }
 
+# The columns of one finding.
+FINDING = "table string, column string, kind string, n bigint, message string"
+
 # Message texts, filled in by position.
 MESSAGES: dict[str, str] = {
     "missing_table": "MISSING TABLE: table %s is missing in %s schema",

@@ -51,8 +51,9 @@ def common_type(left: T.DataType, right: T.DataType) -> T.DataType:
     numeric = (*_INTEGRAL, *_FLOATING, T.DecimalType)
     if isinstance(left, numeric) and isinstance(right, numeric):
         if isinstance(left, _FLOATING) or isinstance(right, _FLOATING):
-            # A double holds every value but those of bigint; decimals are compared at a double's precision.
-            return T.StringType() if T.LongType() in (left, right) else T.DoubleType()
+            # A double holds every value but those of bigint and decimal: with these it meets as plain digits.
+            exact = T.LongType() in (left, right) or isinstance(left, T.DecimalType) or isinstance(right, T.DecimalType)
+            return T.StringType() if exact else T.DoubleType()
         wide = [_as_decimal(t) for t in (left, right)]
         scale = max(t.scale for t in wide)
         whole = max(t.precision - t.scale for t in wide)
@@ -74,15 +75,35 @@ def as_common(value: Column, dtype: T.DataType, common: T.DataType) -> Column:
     if dtype == common:
         return value
     if isinstance(common, T.StringType):
-        if isinstance(dtype, T.DecimalType) and dtype.scale > 0:
-            return F.regexp_replace(value.cast("string"), "\\.?0+$", "")
+        if isinstance(dtype, T.DecimalType):
+            return _digits(value, dtype.scale)
         if isinstance(dtype, _FLOATING):
-            wide = value.cast("double")
-            whole = (wide == F.floor(wide)) & (wide >= -(2.0**63)) & (wide < 2.0**63)
-            return F.when(whole, wide.cast("bigint").cast("string")).otherwise(value.cast("string"))
+            return _plain(value)
     return value.cast(common)
 
 
+def _digits(value: Column, scale: int) -> Column:
+    """A decimal without the zeros that end its fraction."""
+    text = value.cast("string")
+    return F.regexp_replace(text, "\\.?0+$", "") if scale > 0 else text
+
+
+def _plain(value: Column) -> Column:
+    """The shortest digits that make out a floating-point number, without an exponent.
+
+    So it equals the decimal with these digits, and of two decimals that round to it the other one differs. What has no
+    such spelling in 38 digits (next to zero, beyond 10^38, not a number) keeps its own, which no decimal has.
+    """
+    size, shortest = F.abs(value.cast("double")), value.cast("string")
+
+    def spelt(scale: int) -> Column:
+        return _digits(shortest.try_cast(T.DecimalType(38, scale)), scale)
+
+    whole = F.rint(value.cast("double")) == value.cast("double")
+    text = F.when(whole & (size < 1e38), spelt(0)).when(~whole & (size >= 1e-5), spelt(22)).when(~whole & (size >= 1e-21), spelt(38))
+    return F.coalesce(text, shortest)
+
+
 def common_key_type(left: T.DataType, right: T.DataType) -> T.DataType:
     """As :func:`common_type`, but keys must widen without loss."""
     dtype = common_type(left, right)

@@ -221,6 +221,11 @@ def bag_diff(target: DataFrame, given: DataFrame) -> DataFrame:
 
     Equal rows are counted per task before the shuffle on the whole row.
     """
+    return bag_counts(target, given).where(F.col("n_target") != F.col("n_given"))
+
+
+def bag_counts(target: DataFrame, given: DataFrame) -> DataFrame:
+    """Every distinct row of either side with ``n_target`` and ``n_given``."""
     sides = align(target, given, target.columns)
     if len(given.columns) != len(sides.keys):
         extra = sorted({c.lower() for c in given.columns} - {c.lower() for c in sides.keys})
@@ -229,8 +234,7 @@ def bag_diff(target: DataFrame, given: DataFrame) -> DataFrame:
     both = sides.target.select("*", F.lit(1).alias("n_target"), F.lit(0).alias("n_given")).unionByName(
         sides.given.select("*", F.lit(0).alias("n_target"), F.lit(1).alias("n_given"))
     )
-    counted = both.groupBy(*cols(sides.keys)).agg(F.sum("n_target").alias("n_target"), F.sum("n_given").alias("n_given"))
-    return counted.where(F.col("n_target") != F.col("n_given"))
+    return both.groupBy(*cols(sides.keys)).agg(F.sum("n_target").alias("n_target"), F.sum("n_given").alias("n_given"))
 
 
 def observed_nullability(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -257,6 +261,7 @@ def observed_nullability(df: DataFrame, columns: Sequence[str] | None = None) ->
 
 __all__ = [
     "STATUSES",
+    "bag_counts",
     "bag_diff",
     "change_log",
     "conflicts",

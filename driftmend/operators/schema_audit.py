@@ -24,7 +24,8 @@ def missing_tables(
     target: Catalog, given: Catalog, schema: str, exclude: Sequence[str] = (), given_schema: str | None = None
 ) -> DataFrame:
     """Tables of target that given lacks. ``exclude`` names tables that may be absent."""
-    absent = _tables(target, schema).join(_tables(given, given_schema or schema), on="_table", how="left_anti")
+    named = target.tables.where(F.col("schema") == schema).select("table", F.lower("table").alias("_table"))
+    absent = named.join(_tables(given, given_schema or schema), on="_table", how="left_anti")
     if exclude:
         absent = absent.where(~F.col("_table").isin([name.lower() for name in exclude]))
     return absent.select(
@@ -34,36 +35,55 @@ def missing_tables(
 
 def missing_columns(target: Catalog, given: Catalog, schema: str, given_schema: str | None = None) -> DataFrame:
     """Columns of target that given lacks, for tables on both sides."""
-    theirs = _columns(given, given_schema or schema)
-    shared = _columns(target, schema).join(_tables(given, given_schema or schema), on="_table", how="left_semi")
-    absent = shared.join(theirs, on=["_table", "_column"], how="left_anti")
-    table, column = F.col("table"), F.col("column")
-    return absent.select(*finding("missing_column", table, column, None, table, column))
+    return column_deviations(target, given, schema, None, given_schema, ("missing_column",))
 
 
 def type_mismatches(
     target: Catalog, given: Catalog, schema: str, compare_types: str = "family", given_schema: str | None = None
 ) -> DataFrame:
     """Columns on both sides whose types differ: by family, by exact type, or by the source's own type name."""
-    if compare_types not in TYPE_COLUMNS:
-        raise ValueError(f"compare_types is one of {sorted(TYPE_COLUMNS)}, not {compare_types!r}")
-    ours, theirs = (F.col(f"{side}.{TYPE_COLUMNS[compare_types]}") for side in ("t", "g"))
-    table, column = F.col("t.table"), F.col("t.column")
-    return (
-        _on_both_sides(target, given, schema, given_schema)
-        .where(ours != theirs)
-        .select(*finding("type_mismatch", table, column, None, table, column, ours, F.col("g.column"), theirs))
-    )
+    return column_deviations(target, given, schema, compare_types, given_schema, ("type_mismatch",))
 
 
 def nullability_mismatches(target: Catalog, given: Catalog, schema: str, given_schema: str | None = None) -> DataFrame:
     """Columns on both sides of which one admits NULL and the other does not."""
-    table, column = F.col("t.table"), F.col("t.column")
-    return (
-        _on_both_sides(target, given, schema, given_schema)
-        .where(F.col("t.nullable") != F.col("g.nullable"))
-        .select(*finding("nullability_mismatch", table, column, None, table, column))
-    )
+    return column_deviations(target, given, schema, None, given_schema, ("nullability_mismatch",))
+
+
+def column_deviations(
+    target: Catalog,
+    given: Catalog,
+    schema: str,
+    compare_types: str | None = "family",
+    given_schema: str | None = None,
+    kinds: Sequence[str] = ("missing_column", "type_mismatch", "nullability_mismatch"),
+) -> DataFrame:
+    """All kinds of finding about columns of tables on both sides, from one join of the two sides' columns.
+
+    A table of target is compared with the table of its very name in given, or else with the last whose name differs in
+    case only; so every one of target's tables is, also where their own names collide.
+    """
+    if "type_mismatch" in kinds and compare_types not in TYPE_COLUMNS:
+        raise ValueError(f"compare_types is one of {sorted(TYPE_COLUMNS)}, not {compare_types!r}")
+    here = given_schema or schema
+    ours, theirs = (catalog.tables.where(F.col("schema") == of) for catalog, of in ((target, schema), (given, here)))
+    names = theirs.select(F.lower("table").alias("_table"), F.col("table").alias("_other"))
+    pairs = ours.select("table", F.lower("table").alias("_table")).join(names, on="_table")
+    pairs = pairs.groupBy("table").agg(F.max_by("_other", F.struct(F.col("_other") == F.col("table"), "_other")).alias("_other"))
+    left = _columns(target, schema).join(pairs, on="table").alias("t")
+    right = _columns(given, here).select(*[F.col(c).alias(f"_g_{c}") for c in ("table", "_column", "column", "nullable", *TYPE_COLUMNS.values())])
+    both = left.join(right, on=(F.col("_other") == F.col("_g_table")) & (F.col("_column") == F.col("_g__column")), how="left")
+
+    table, column, there = F.col("table"), F.col("column"), F.col("_g_column").isNotNull()
+    cases = []
+    if "missing_column" in kinds:
+        cases.append((~there, finding("missing_column", table, column, None, table, column)))
+    if "type_mismatch" in kinds:
+        mine, other = (F.col(f"{side}{TYPE_COLUMNS[compare_types]}") for side in ("", "_g_"))
+        cases.append((there & (mine != other), finding("type_mismatch", table, column, None, table, column, mine, F.col("_g_column"), other)))
+    if "nullability_mismatch" in kinds:
+        cases.append((there & (F.col("nullable") != F.col("_g_nullable")), finding("nullability_mismatch", table, column, None, table, column)))
+    return both.select(F.inline(F.array_compact(F.array(*[F.when(holds, F.struct(*facts)) for holds, facts in cases]))))
 
 
 def missing_dependencies(
@@ -115,7 +135,7 @@ def missing_dependencies(
 
 
 def name_collisions(catalog: Catalog, schema: str) -> DataFrame:
-    """Tables, or columns of a table, whose names differ only in case. Comparisons use the last of them."""
+    """Tables, or columns of a table, whose names differ only in case. Of such columns comparisons use the last."""
     tables = (
         catalog.tables.where(F.col("schema") == schema)
         .groupBy(F.lower("table").alias("_table"))
@@ -145,18 +165,8 @@ def _tables(catalog: Catalog, schema: str) -> DataFrame:
 
 
 def _columns(catalog: Catalog, schema: str) -> DataFrame:
-    """One row per lower-cased table and column name, the last one where names collide."""
+    """One row per table and lower-cased column name, the last one where names of columns collide."""
     found = catalog.columns.where(F.col("schema") == schema)
-    rank = F.struct("table", "ordinal")
-    return found.groupBy(F.lower("table").alias("_table"), F.lower("column").alias("_column")).agg(
-        *[F.max_by(c, rank).alias(c) for c in ("table", "column", "nullable", *TYPE_COLUMNS.values())]
-    )
-
-
-def _on_both_sides(target: Catalog, given: Catalog, schema: str, given_schema: str | None) -> DataFrame:
-    ours, theirs = _columns(target, schema).alias("t"), _columns(given, given_schema or schema).alias("g")
-    return ours.join(
-        theirs,
-        on=(F.col("t._table") == F.col("g._table")) & (F.col("t._column") == F.col("g._column")),
-        how="inner",
+    return found.groupBy("table", F.lower("column").alias("_column")).agg(
+        *[F.max_by(c, "ordinal").alias(c) for c in ("column", "nullable", *TYPE_COLUMNS.values())]
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftmend.functions.findings import finding, labelled
+from driftmend.functions.findings import FINDING, finding, labelled
 from driftmend.functions.frames import stacked
 from driftmend.functions.names import cols
 from driftmend.functions.sides import align
@@ -20,7 +20,7 @@ from driftmend.functions.types import family
 from driftmend.operators import schema_audit
 from driftmend.operators.keys import key_presence, orphan_keys
 from driftmend.operators.mapping import map_schema
-from driftmend.operators.rows import STATUSES, bag_diff, pair_sides, rows_differ, status_counts
+from driftmend.operators.rows import STATUSES, bag_counts, pair_sides, rows_differ, status_counts
 from driftmend.plans.facts import with_affected
 from driftmend.sources.catalog import Catalog, load_catalog
 from driftmend.sources.contract import Namespace, Reference
@@ -53,6 +53,8 @@ def audit(
     * ``orphans``: rows of given whose reference has no parent there
     * ``casts``: values of target that given's column type cannot hold
 
+    Tables of target whose names differ only in case are all compared, each with the table of its very name in given or else
+    the last that matches. Where the sides have nothing to compare there are no findings.
     A table that cannot be compared or read is a finding itself and the others go on: the checks of some tables at a
     time are one job whose findings are written to the shared work folder, and those of a job that fails are run again
     table by table. All counts of a table that concern its key come from one pass over it. ``catalogs`` replaces the catalogs of target and given, where
@@ -71,9 +73,7 @@ def audit(
         if "schema" in checks:
             about_schema += [
                 schema_audit.missing_tables(ours, theirs, schema, [*exclude, *given.errors], here),
-                schema_audit.missing_columns(ours, theirs, schema, here),
-                schema_audit.type_mismatches(ours, theirs, schema, compare_types, here),
-                schema_audit.nullability_mismatches(ours, theirs, schema, here),
+                schema_audit.column_deviations(ours, theirs, schema, compare_types, here),
                 schema_audit.name_collisions(ours, schema).union(schema_audit.name_collisions(theirs, here)).distinct(),
             ]
         if "dependencies" in checks:
@@ -88,7 +88,7 @@ def audit(
                 parts.append(("schema", [plain]))
     for name in target.names():
         other = given.find(name)
-        if other is None or target.find(name) != name:
+        if other is None:
             continue
         for part in (_orphan_findings, _cast_findings, _key_findings):
             try:
@@ -103,7 +103,7 @@ def audit(
     if failures:
         found.append(_failures(spark, failures))
     if not found:
-        raise ValueError("there is nothing to check")
+        found.append(spark.createDataFrame([], FINDING))
     return labelled(stacked(found), run_id).orderBy("table", "kind", "column", "message")
 
 
@@ -248,18 +248,15 @@ def _key_findings(
 
 
 def _bag_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The counts of a table without a key, all from one pass over both sides."""
     balance = F.col("n_target") - F.col("n_given")
-    differing = bag_diff(left, right).agg(
-        F.coalesce(F.sum(F.when(balance > 0, balance)), F.lit(0)).alias("missing_in_given"),
-        F.coalesce(F.sum(F.when(balance < 0, -balance)), F.lit(0)).alias("only_in_given"),
-    )
-    uncounted = F.lit(None).cast("bigint")
-    return differing.select(
-        left.agg(F.count(F.lit(1))).scalar().alias("rows_target"),
-        right.agg(F.count(F.lit(1))).scalar().alias("rows_given"),
-        "missing_in_given",
-        "only_in_given",
-        *[uncounted.alias(s) for s in STATUSES[2:]],
+    total = lambda value: F.coalesce(F.sum(value), F.lit(0))
+    return bag_counts(left, right).agg(
+        total(F.col("n_target")).alias("rows_target"),
+        total(F.col("n_given")).alias("rows_given"),
+        total(F.when(balance > 0, balance)).alias("missing_in_given"),
+        total(F.when(balance < 0, -balance)).alias("only_in_given"),
+        *[F.first(F.lit(None).cast("bigint")).alias(s) for s in STATUSES[2:]],
     )
 
 

@@ -60,7 +60,9 @@ class Namespace:
         return sorted(self.tables)
 
     def find(self, name: str) -> str | None:
-        """The spelling of a table name here, ignoring case; of names that collide, the last in order."""
+        """The spelling of a table name here: the same if there is one, else ignoring case the last in order."""
+        if name in self.tables:
+            return name
         same = [n for n in self.names() if n.lower() == name.lower()]
         return same[-1] if same else None
 

@@ -57,13 +57,13 @@ def test_one_column_can_differ_in_type_and_nullability(spark):
     assert named(schema_audit.nullability_mismatches(ours, theirs, "main")) == [("t", "a")]
 
 
-def test_colliding_names_are_reported_and_the_last_is_compared(spark):
+def test_colliding_names_are_reported_and_all_tables_compared(spark):
     tables = {"T": spark.createDataFrame([], "a int"), "t": spark.createDataFrame([], "a string, A bigint, b int")}
     ours, theirs = dm.load_catalog(spark, Namespace("main", tables)), dm.load_catalog(spark, space(spark, t="a bigint, b int"))
     collisions = {(r["table"], r["column"]): r["message"] for r in schema_audit.name_collisions(ours, "main").collect()}
     assert set(collisions) == {("t", None), ("t", "A")}
     assert "T, t" in collisions[("t", None)]
-    assert schema_audit.type_mismatches(ours, theirs, "main").isEmpty()
+    assert [(r["table"], r["column"]) for r in schema_audit.type_mismatches(ours, theirs, "main").collect()] == [("T", "a")]
 
 
 def test_dependencies(spark):
@@ -247,3 +247,22 @@ def test_colliding_columns_do_not_stop_an_audit(spark):
     given = Namespace("main", {"t": odd, "u": spark.range(0)})
     found = {(r["table"], r["kind"]) for r in dm.audit(target, given, checks=("schema", "rows", "changed")).collect()}
     assert {("t", "name_collision"), ("t", "table_error"), ("u", "unsynced_rows")} <= found
+
+
+def test_tables_whose_names_collide_are_all_compared(spark):
+    make = lambda rows, schema="id int, s string": spark.createDataFrame(rows, schema)
+    contracts = [dm.TableContract("t", "id")]
+    target = dm.Namespace("main", {"T": make([(i, "x") for i in range(5)]), "t": make([(1, "x")], "id int, s string")}, contracts)
+    given = dm.Namespace("main", {"t": make([(1,)], "id int")}, contracts)
+    found = {(r.table, r.column, r.kind, r.n) for r in dm.audit(target, given).collect()}
+    assert found == {("T", None, "unsynced_rows", 4), ("T", "s", "missing_column", None), ("t", "s", "missing_column", None), ("t", None, "name_collision", 2)}
+    both = dm.Namespace("main", {"T": make([(i, "x") for i in range(4)]), "t": make([(1, "x")])}, contracts)
+    found = {(r.table, r.kind, r.n) for r in dm.audit(target, both).collect()}
+    assert found == {("T", "unsynced_rows", 1), ("t", "name_collision", 2)}
+
+
+def test_nothing_to_compare_gives_no_findings(spark):
+    one = dm.Namespace("main", {"a": spark.createDataFrame([(1,)], "id int")}, [dm.TableContract("a", "id")])
+    other = dm.Namespace("main", {"b": spark.createDataFrame([(1,)], "id int")}, [dm.TableContract("b", "id")])
+    found = dm.audit(one, other, checks=("rows",))
+    assert found.collect() == [] and found.columns == dm.audit(one, other).columns

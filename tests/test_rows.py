@@ -272,3 +272,14 @@ def test_digests_agree_with_comparison_on_nested_values_and_zeros(spark):
     assert exact == {1: "same", 2: "same", 3: "changed", 4: "changed", 5: "changed"}
     assert {r["k"]: r["status"] for r in dm.digest_diff(target, given, ["k"], include_same=True).collect()} == exact
     assert {r["k"] for r in dm.bucket_diff(target, given, ["k"]).collect()} == {3, 4, 5}
+
+
+def test_decimals_meet_floating_point_numbers_exactly(spark):
+    texts = ["9007199254740993", "9007199254740992", "0.1", "0.10000000000000000555", "100", "-0.0000001", "0", "123.456"]
+    target = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k int, t string").selectExpr("k", "cast(t as decimal(38,20)) AS n")
+    given = spark.createDataFrame([(0, 9007199254740992.0), (1, 9007199254740992.0), (2, 0.1), (3, 0.1), (4, 1e2), (5, -1e-7), (6, -0.0), (7, 123.456)], "k int, n double")
+    for diff in (dm.row_diff(target, given, ["k"]), dm.row_diff(given, target, ["k"]), dm.digest_diff(target, given, ["k"], include_same=True)):
+        assert {r.k: r.status for r in diff.collect()} == {i: "changed" if i in (0, 3) else "same" for i in range(8)}
+    wide = spark.createDataFrame([(1, 1e20), (2, 1e300), (3, float("nan"))], "k int, n double")
+    digits = spark.sql("SELECT 1 AS k, cast('100000000000000000000' AS decimal(38,0)) AS n UNION ALL SELECT 2, 1 UNION ALL SELECT 3, 1")
+    assert {r.k: r.status for r in dm.row_diff(digits, wide, ["k"]).collect()} == {1: "same", 2: "changed", 3: "changed"}
