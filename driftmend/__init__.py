@@ -4,6 +4,14 @@
 """
 
 from driftmend.operators.buckets import bucket_diff, bucket_digest, differing_buckets, digest_diff
+from driftmend.operators.digest_tree import (
+    differing_leaves,
+    digest_tree,
+    read_branches,
+    save_branches,
+    tree_diff,
+    update_tree,
+)
 from driftmend.operators.keys import (
     key_presence,
     key_profile,
@@ -64,7 +72,9 @@ __all__ = [
     "conflicts",
     "copy_table",
     "differing_buckets",
+    "differing_leaves",
     "digest_diff",
+    "digest_tree",
     "file_changes",
     "incremental_sync",
     "keep_base",
@@ -85,6 +95,7 @@ __all__ = [
     "orphan_rows",
     "primary_key_holds",
     "read_arrivals",
+    "read_branches",
     "read_database",
     "read_files",
     "read_jdbc",
@@ -99,6 +110,7 @@ __all__ = [
     "run_file_sync",
     "run_schema_sync",
     "run_sync",
+    "save_branches",
     "scan_keys",
     "status_counts",
     "stream_sync",
@@ -108,8 +120,10 @@ __all__ = [
     "synced_state",
     "table_exists",
     "three_way_status",
+    "tree_diff",
     "true_conflicts",
     "unsynced_count",
+    "update_tree",
     "with_affected",
     "write_findings",
 ]
