@@ -20,6 +20,7 @@ from checks.registry import query
 from checks.row_queries import LOG, flat_log
 from checks.sql import GIVEN_CONVERSATIONS, GIVEN_EVENTS, GIVEN_ORDERS, ORDER_COLUMNS, ORDER_VALUES, union_all
 from checks.tables import LOOKBACK, Tables
+from driftmend.functions.frames import stacked
 from driftmend.sources.sinks import work_folder
 
 ORDER_KEY = ["o_orderkey"]
@@ -221,6 +222,38 @@ def stream_sync_with_delay(t: Tables) -> DataFrame:
     return _streamed(t, progress="ts", delay="3 days", fixed_progress=True)
 
 
+_LATE = "(event_id % 3 = 1 AND ts < TIMESTAMP '2024-01-05')"
+_DELIVERIES = [
+    f"ts < TIMESTAMP '2024-01-15' AND NOT {_LATE}",
+    "ts >= TIMESTAMP '2024-01-15'",
+    _LATE,
+]
+
+
+@query(f"""WITH {GIVEN_EVENTS}
+SELECT 'state' AS part, event_id, ts FROM given_events
+UNION ALL SELECT 'state', event_id, ts FROM events t WHERE {_UNSEEN}
+UNION ALL SELECT 'rejected', event_id, ts FROM events t WHERE {_UNSEEN} AND {_DELIVERIES[0]} AND event_id % 10 = 0
+UNION ALL SELECT 'rejected', event_id, ts FROM events t WHERE {_UNSEEN} AND {_DELIVERIES[1]} AND event_id % 7 = 0
+UNION ALL SELECT 'late', event_id, ts FROM events t WHERE {_UNSEEN} AND {_LATE}""")
+def stream_sync_files(t: Tables) -> DataFrame:
+    """Three deliveries, one batch each: the second repeats rows of the first and some of its own, the third is late.
+
+    What is written, what is turned down and what came late are all compared.
+    """
+    folder = work_folder(t.spark, "deliveries")
+    parts = [t.events.where(rule) for rule in _DELIVERIES]
+    parts[1] = parts[1].unionByName(parts[0].where("event_id % 10 = 0")).unionByName(parts[1].where("event_id % 7 = 0"))
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{folder}/files/{i}")
+    given = t.given_events()
+    arrivals = dm.read_arrivals(t.spark, f"{folder}/files/*", t.arrivals_schema(), max_files=1)
+    options = {"progress": "ts", "delay": "3 days", "fixed_progress": True}
+    dm.stream_sync(arrivals, given, ["event_id"], f"{folder}/rows", f"{folder}/checkpoint", **options).awaitTermination()
+    results = {"state": dm.synced_state(given, f"{folder}/rows"), "rejected": dm.rejected_rows(given, f"{folder}/rows"), "late": dm.late_rows(given, f"{folder}/rows")}
+    return stacked([rows.select(F.lit(part).alias("part"), "event_id", "ts") for part, rows in results.items()])
+
+
 _WANTED = T.StructType(
     [
         T.StructField("ORDER_ID", T.LongType()),

@@ -67,12 +67,11 @@ def stream_sync(
     stored = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        # Written first, so that its size is known: the keys of given and of earlier batches are reduced to those of
-        # a small batch without a shuffle.
-        arrived = staged(batch, "arrivals")
         forms = [comparable(col(f.name), f.dataType).alias(f"_form_{i}") for i, f in enumerate(schema.fields)]
         row = F.struct(*cols(schema.names))
-        counted = arrived.groupBy(*forms).agg(F.any_value(row).alias("row"), F.count("*").alias("n"))
+        counted = batch.groupBy(*forms).agg(F.any_value(row).alias("row"), F.count("*").alias("n"))
+        # Written first, so that its size is known: the keys of given and of earlier batches are reduced to those of
+        # a small batch without a shuffle, and each is read once.
         counted = staged(counted.select("row", "n"), "arrivals")
         alike = counted.select("row.*")
 
@@ -81,15 +80,16 @@ def stream_sync(
         if fixed_progress:
             since = alike.agg(F.min(col(progress))).scalar()
             seen = given.where((col(progress) >= since) | col(progress).isNull())
-        there = keep_by_key(seen.select(*cols(names)), alike, names, "left_semi")
-        before = staged(keep_by_key(earlier.select(*cols(names)), alike, names, "left_semi").distinct(), "arrivals")
-        absent = staged(keep_by_key(alike, there, names, "left_anti"), "arrivals")
-        new = keep_by_key(absent, before, names, "left_anti")
+        there = seen.select(*cols(names), F.lit(True).alias("_given"))
+        before = earlier.select(*cols(names), F.lit(False).alias("_given"))
+        known = keep_by_key(there.unionByName(before), alike, names, "left_semi")
+        known = staged(known.groupBy(*cols(names)).agg(F.bool_or("_given").alias("_given")), "arrivals")
+        new = keep_by_key(alike, known, names, "left_anti")
         new.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
         copies = counted.where("n > 1").select("row.*", F.explode(F.sequence(F.lit(2).cast("bigint"), F.col("n"))).alias("_copy")).drop("_copy")
-        copies = keep_by_key(copies, there, names, "left_anti")
-        rejected = keep_by_key(absent, before, names, "left_semi").unionByName(copies)
+        copies = keep_by_key(copies, known.where("_given"), names, "left_anti")
+        rejected = keep_by_key(alike, known.where("NOT _given"), names, "left_semi").unionByName(copies)
         rejected.write.mode("overwrite").parquet(f"{out}_rejected/batch={batch_id}")
         if delay is not None:
             mark = earlier.agg(F.max(col(progress)) - F.expr(f"INTERVAL {delay}")).scalar()
