@@ -30,6 +30,8 @@ FAMILIES: dict[type, str] = {
 
 _INTEGRAL = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
 _FLOATING = (T.FloatType, T.DoubleType)
+# Types whose cells an aggregation can hold in place.
+FIXED_WIDTH = (*_INTEGRAL, *_FLOATING, T.DecimalType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 _TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 

@@ -8,10 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftmend.functions.digest import row_digest
 from driftmend.functions.display import cell_text
 from driftmend.functions.names import col, cols, reserve
 from driftmend.functions.sides import Sides, align, keep_by_key
-from driftmend.functions.types import comparable, has_map
+from driftmend.functions.types import FIXED_WIDTH, comparable, has_map
 
 # What can be said of a key.
 STATUSES = ("missing_in_given", "only_in_given", "changed", "same", "duplicate_key")
@@ -67,6 +68,40 @@ def pair_sides(sides: Sides, primary_key: bool) -> DataFrame:
     )
 
 
+def compared_keys(sides: Sides, primary_key: bool) -> DataFrame:
+    """One row per key: ``n_target``, ``n_given`` and ``_changed``, for each value column whether its two cells differ.
+
+    Like :func:`pair_sides`, but without rows, so that it is one hash aggregation of fixed-width numbers: cells of fixed width are
+    compared as they are, text and nested ones by two 64-bit digests, which alone are shuffled. Where a key has
+    several rows on a side ``_changed`` says nothing.
+    """
+    if primary_key:
+        pairs = pair_sides(sides, primary_key)
+        return pairs.select(*cols(sides.keys), "n_target", "n_given", F.array(*[_differs(sides, v) for v in sides.values]).cast("array<boolean>").alias("_changed"))
+    reserve(sides.keys, "n_target", "n_given", "_ours", "_changed")
+    plain = {v: isinstance(sides.types[v], FIXED_WIDTH) for v in sides.values}
+
+    def cells(side: DataFrame, ours: bool) -> DataFrame:
+        found = []
+        for i, v in enumerate(sides.values):
+            found += [col(v).alias(f"_{i}_0")] if plain[v] else [row_digest(side, [v], seed).alias(f"_{i}_{seed}") for seed in (0, 1)]
+        return side.select(*cols(sides.keys), F.lit(ours).alias("_ours"), *found)
+
+    both = cells(sides.target, True).unionByName(cells(sides.given, False))
+    ours = F.col("_ours")
+    facts, changed = [], []
+    for i, v in enumerate(sides.values):
+        parts = range(1 if plain[v] else 2)
+        for part in parts:
+            cell = F.col(f"_{i}_{part}")
+            facts.append(F.any_value(F.when(ours, cell), ignoreNulls=True).alias(f"_t_{i}_{part}"))
+            facts.append(F.any_value(F.when(~ours, cell), ignoreNulls=True).alias(f"_g_{i}_{part}"))
+        changed.append(reduce(Column.__or__, [~F.col(f"_t_{i}_{part}").eqNullSafe(F.col(f"_g_{i}_{part}")) for part in parts]))
+    counts = (F.count_if(ours).alias("n_target"), F.count_if(~ours).alias("n_given"))
+    judged = both.groupBy(*cols(sides.keys)).agg(*counts, *facts)
+    return judged.select(*cols(sides.keys), "n_target", "n_given", F.array(*changed).cast("array<boolean>").alias("_changed"))
+
+
 def _differs(sides: Sides, name: str) -> Column:
     ours, theirs = (comparable(F.col(row).getField(name), sides.types[name]) for row in ("target_row", "given_row"))
     return ~ours.eqNullSafe(theirs)
@@ -104,28 +139,27 @@ def row_diff(
 ) -> DataFrame:
     """One row per key: its ``status`` (see ``STATUSES``) and, if changed, the ``changed_cols``.
 
-    Columns are compared null-safe; those on one side only are not (``missing_columns`` reports them).
+    Columns are compared null-safe, text and nested ones by 128-bit digests; those on one side only are not
+    (``missing_columns`` reports them). With ``primary_key`` all are compared as they are.
     A key with several rows on a side is ``duplicate_key``: use :func:`bag_diff` for such tables.
     """
     sides = align(target, given, keys, values)
     reserve(sides.keys, "status", "changed_cols")
-    pairs = pair_sides(sides, primary_key)
-    if not include_same:
-        pairs = pairs.where(_not_same(sides))
+    found = compared_keys(sides, primary_key)
     one_each = (F.col("n_target") == 1) & (F.col("n_given") == 1)
-    names = F.array(*[F.when(_differs(sides, v), F.lit(v)) for v in sides.values]).cast("array<string>")
+    if not include_same:
+        found = found.where(~one_each | F.array_contains("_changed", True))
+    names = F.array(*[F.when(F.get("_changed", F.lit(i)), F.lit(v)) for i, v in enumerate(sides.values)]).cast("array<string>")
     nothing = F.array().cast("array<string>")
-    compared = pairs.withColumn("changed_cols", F.when(one_each, F.array_compact(names)).otherwise(nothing))
-    return compared.select(
-        *cols(sides.keys), key_status(F.size("changed_cols") > 0).alias("status"), "changed_cols"
-    )
+    told = found.withColumn("changed_cols", F.when(one_each, F.array_compact(names)).otherwise(nothing))
+    return told.select(*cols(sides.keys), key_status(F.size("changed_cols") > 0).alias("status"), "changed_cols")
 
 
 def status_counts(target: DataFrame, given: DataFrame, keys: Sequence[str], primary_key: bool = False) -> DataFrame:
     """One row: rows on each side and keys of each status. No status is left out when it is zero."""
     sides = align(target, given, keys)
-    pairs = pair_sides(sides, primary_key)
-    judged = pairs.select("n_target", "n_given", key_status(rows_differ(sides)).alias("status"))
+    found = compared_keys(sides, primary_key)
+    judged = found.select("n_target", "n_given", key_status(F.array_contains("_changed", True)).alias("status"))
     return judged.agg(
         F.coalesce(F.sum("n_target"), F.lit(0)).alias("rows_target"),
         F.coalesce(F.sum("n_given"), F.lit(0)).alias("rows_given"),
@@ -264,6 +298,7 @@ __all__ = [
     "bag_counts",
     "bag_diff",
     "change_log",
+    "compared_keys",
     "conflicts",
     "key_status",
     "observed_nullability",

@@ -20,7 +20,7 @@ from driftmend.functions.types import family
 from driftmend.operators import schema_audit
 from driftmend.operators.keys import key_presence, orphan_keys
 from driftmend.operators.mapping import map_schema
-from driftmend.operators.rows import STATUSES, bag_counts, pair_sides, rows_differ, status_counts
+from driftmend.operators.rows import STATUSES, bag_counts, compared_keys, status_counts
 from driftmend.plans.facts import with_affected
 from driftmend.sources.catalog import Catalog, load_catalog
 from driftmend.sources.contract import Namespace, Reference
@@ -221,7 +221,7 @@ def _key_findings(
     if "changed" in checks:
         sides = align(left, right, keys)
         one_each = (F.col("n_target") == 1) & (F.col("n_given") == 1)
-        pairs, changed = pair_sides(sides, primary_key=False), F.count_if(one_each & rows_differ(sides))
+        pairs, changed = compared_keys(sides, primary_key=False), F.count_if(one_each & F.array_contains("_changed", True))
     else:
         pairs, changed = key_presence(left, right, keys), F.lit(0).cast("bigint")
     in_target, in_given = F.col("n_target"), F.col("n_given")

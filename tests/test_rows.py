@@ -283,3 +283,23 @@ def test_decimals_meet_floating_point_numbers_exactly(spark):
     wide = spark.createDataFrame([(1, 1e20), (2, 1e300), (3, float("nan"))], "k int, n double")
     digits = spark.sql("SELECT 1 AS k, cast('100000000000000000000' AS decimal(38,0)) AS n UNION ALL SELECT 2, 1 UNION ALL SELECT 3, 1")
     assert {r.k: r.status for r in dm.row_diff(digits, wide, ["k"]).collect()} == {1: "same", 2: "changed", 3: "changed"}
+
+
+def test_rows_are_compared_without_sorting_them(spark):
+    target = spark.createDataFrame([(1, "a", 1.5, ["x"])], "k int, s string, d double, l array<string>")
+    for found in (dm.row_diff(target, target, ["k"]), dm.status_counts(target, target, ["k"])):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_cells_that_are_null_or_nested(spark):
+    schema = "k int, s string, d double, l array<string>, m map<string,int>, b binary"
+    rows = [(i, None, None, None, None, None) for i in range(7)]
+    given = [(0, None, None, None, None, None), (1, "", None, None, None, None), (2, None, 0.0, None, None, None), (3, None, None, [], None, None),
+             (4, None, None, None, {}, None), (5, None, None, None, None, b""), (6, None, None, None, None, None)]
+    found = dm.row_diff(spark.createDataFrame(rows, schema), spark.createDataFrame(given, schema), ["k"])
+    assert {r.k: r.changed_cols for r in found.collect()} == {0: [], 1: ["s"], 2: ["d"], 3: ["l"], 4: ["m"], 5: ["b"], 6: []}
+    same = [(1, "a", -0.0, ["x", None], {"a": 1, "b": 2}, b"q")]
+    other = [(1, "a", 0.0, ["x", None], {"b": 2, "a": 1}, b"q")]
+    found = dm.row_diff(spark.createDataFrame(same, schema), spark.createDataFrame(other, schema), ["k"])
+    assert found.first().status == "same"
