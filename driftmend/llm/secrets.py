@@ -2,10 +2,16 @@
 
 All work is DataFrame expressions. Matches and what stands between them come from two calls with one pattern, and
 their lengths add up to positions. A candidate string is put to three tests under the alphabet it seems to be written
-in: how even its characters are (chi squared), how often the class of character changes (runs), and how far each
-character follows from the one before (serial correlation). Each gives a p-value for an ordinary string of that length;
-the candidate is as random as its worst test says. Within each band of lengths the Benjamini-Hochberg procedure keeps
-the share of ordinary strings among those reported below ``rate``.
+in, each of which gives a p-value for an ordinary string (words, names, paths, dates) of that length:
+
+* how even its characters are (chi squared);
+* how often the class of character changes (runs): between capitals, small letters and digits it changes more often in a
+  random string, and between vowels and consonants, where all are letters of one case, less often;
+* how far each character follows from the one before (serial correlation), in the alphabet or on the keyboard.
+
+The first two are independent evidence and combined by Fisher's method; the third can only speak against a string, since
+a sequence is as even as can be. Where an alphabet has no classes to change between, the first stands alone. Within each
+band of lengths the Benjamini-Hochberg procedure keeps the share of ordinary strings among those reported below ``rate``.
 """
 
 from __future__ import annotations
@@ -24,19 +30,25 @@ CANDIDATE = "[A-Za-z0-9+/_-]{20,}"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 UPPER = LOWER.upper()
 DIGITS = "0123456789"
-# Encoding: its pattern, its alphabet, and the chance that two characters of an ordinary string of it are equal.
+VOWELS = "aeiouAEIOU"
+# Fixed values, by encoding: its pattern, its alphabet, the chance that two characters of an ordinary string of it are
+# equal, and how often its class changes from one character to the next (of letters of one case: vowel or consonant).
 ENCODINGS = (
-    ("^[0-9a-f]+$", DIGITS + "abcdef", 0.1),
-    ("^[0-9A-F]+$", DIGITS + "ABCDEF", 0.1),
-    ("^[A-Z2-7]+$", UPPER + "234567", 0.065),
-    ("^[a-z0-9]+$", LOWER + DIGITS, 0.065),
-    ("^[A-Z0-9]+$", UPPER + DIGITS, 0.065),
-    ("^[A-Za-z0-9]+$", UPPER + LOWER + DIGITS, 0.06),
-    ("", UPPER + LOWER + DIGITS + "+/-_", 0.055),
+    ("^[0-9]+$", DIGITS, 0.12, None),
+    ("^[0-9a-f]+$", DIGITS + "abcdef", 0.1, 0.15),
+    ("^[0-9A-F]+$", DIGITS + "ABCDEF", 0.1, 0.15),
+    ("^[a-z]+$", LOWER, 0.066, 0.65),
+    ("^[A-Z]+$", UPPER, 0.066, 0.65),
+    ("^[A-Z2-7]+$", UPPER + "234567", 0.065, 0.06),
+    ("^[a-z0-9]+$", LOWER + DIGITS, 0.065, 0.12),
+    ("^[A-Z0-9]+$", UPPER + DIGITS, 0.065, 0.12),
+    ("^[A-Za-z0-9]+$", UPPER + LOWER + DIGITS, 0.06, 0.3),
+    ("", UPPER + LOWER + DIGITS + "+/-_", 0.055, 0.3),
 )
+LETTERS = "^([a-z]+|[A-Z]+)$"
 BANDS = (24, 32, 48, 96)
-# Chance that an ordinary string changes from one class of character to another at any place.
-CHANGES = 0.08
+# The order of keys of a keyboard.
+KEYBOARD = "1234567890qwertyuiopasdfghjklzxcvbnm"
 # Correlation of neighbours in an ordinary counted or keyboard sequence.
 FOLLOWS = 0.8
 STEPS = 8
@@ -83,9 +95,18 @@ def _matches(docs: DataFrame) -> DataFrame:
 
 
 def _normal(z: Column) -> Column:
-    """The normal distribution function, to about 0.0002."""
+    """The normal distribution function, to about 0.0002 and in its tails to some hundredths of its value."""
     z = F.greatest(F.lit(-8.0), F.least(F.lit(8.0), z))
-    return 1 / (1 + F.exp(-1.5976 * z - 0.07056 * z * z * z))
+    size = F.abs(z)
+    tail = F.exp(-size * size / 2) / (size * 2.5066282746310002) * (1 - 1 / (size * size) + 3 / F.pow(size, F.lit(4.0)))
+    middle = 1 / (1 + F.exp(-1.5976 * z - 0.07056 * z * z * z))
+    return F.when(z < -3, tail).when(z > 3, 1 - tail).otherwise(middle)
+
+
+def _both(one: Column, other: Column) -> Column:
+    """Fisher's combination of two p-values."""
+    product = F.greatest(one * other, F.lit(1e-300))
+    return F.least(F.lit(1.0), product * (1 - F.log(product)))
 
 
 def with_ordinariness(rows: DataFrame) -> DataFrame:
@@ -94,39 +115,50 @@ def with_ordinariness(rows: DataFrame) -> DataFrame:
     Each intermediate value is a column of its own, so that it is worked out once a row.
     """
     value, n = F.col("value"), F.col("_n")
-    size, alphabet, equal = F.lit(0.0), F.lit(""), F.lit(0.0)
-    for pattern, letters, chance in reversed(ENCODINGS):
+    size, alphabet, equal, rate = F.lit(0.0), F.lit(""), F.lit(0.0), F.lit(None).cast("double")
+    for pattern, letters, chance, changes in reversed(ENCODINGS):
         own = value.rlike(pattern) if pattern else F.lit(True)
         size = F.when(own, F.lit(float(len(letters)))).otherwise(size)
         alphabet = F.when(own, F.lit(letters)).otherwise(alphabet)
         equal = F.when(own, F.lit(chance)).otherwise(equal)
+        rate = F.when(own, F.lit(changes).cast("double")).otherwise(rate)
     total = lambda x: F.aggregate(x, F.lit(0.0), lambda sum, v: sum + v)
     chars = F.filter(F.split(value, ""), lambda c: c != "")
-    first = rows.withColumns({"_n": F.length(value).cast("double"), "_size": size, "_alphabet": alphabet, "_equal": equal, "_chars": chars})
-    codes = F.transform("_chars", lambda c: F.instr(F.col("_alphabet"), c).cast("double"))
+    first = rows.withColumns({"_n": F.length(value).cast("double"), "_size": size, "_alphabet": alphabet, "_equal": equal, "_rate": rate, "_chars": chars})
+    orders = [F.transform("_chars", lambda c: F.instr(F.col("_alphabet"), c).cast("double")), F.transform("_chars", lambda c: F.instr(F.lit(KEYBOARD), F.lower(c)).cast("double"))]
     count = lambda sum, c: sum + F.pow(n - F.length(F.replace(value, c, F.lit(""))), F.lit(2))
-    second = first.withColumns({"_codes": codes, "_squares": F.aggregate(F.array_distinct("_chars"), F.lit(0.0), count)})
-    third = second.withColumn("_mean", total(F.col("_codes")) / n)
-    centred = third.withColumn("_centred", F.transform("_codes", lambda v: v - F.col("_mean")))
+    second = first.withColumns({f"_codes_{i}": codes for i, codes in enumerate(orders)} | {"_squares": F.aggregate(F.array_distinct("_chars"), F.lit(0.0), count)})
+    third = second.withColumns({f"_mean_{i}": total(F.col(f"_codes_{i}")) / n for i in (0, 1)})
+    less = lambda codes, mean: F.transform(codes, lambda v: v - F.col(mean))
+    centred = third.withColumns({f"_centred_{i}": less(f"_codes_{i}", f"_mean_{i}") for i in (0, 1)})
 
     size, excess = F.col("_size"), F.col("_size") * F.col("_equal") - 1
     chi = size / n * F.col("_squares") - n
     even = _normal((chi - (size - 1) - n * excess) / F.sqrt(2 * (size - 1) + 4 * n * excess))
 
-    classes = F.translate(value, UPPER + LOWER + DIGITS + "+/-_", "u" * 26 + "l" * 26 + "d" * 10 + "s" * 4)
-    # A run of a class is what remains of it when neighbours of one class are merged.
-    runs = F.length(F.regexp_replace(classes, "(.)\\1+", "$1")).cast("double")
-    changing = 1 - _normal((runs - 1 - (n - 1) * CHANGES) / F.sqrt((n - 1) * CHANGES * (1 - CHANGES)))
-
-    around = F.col("_centred")
-    square = total(F.transform(around, lambda v: v * v))
-    cross = total(F.zip_with(F.slice(around, 1, F.size(around) - 1), F.slice(around, 2, F.size(around) - 1), lambda a, b: a * b))
-    last = centred.withColumns({"_even": even, "_changing": changing, "_square": square, "_cross": cross})
-    r = F.when(F.col("_square") > 0, F.greatest(F.lit(-0.999), F.least(F.lit(0.999), F.col("_cross") / F.col("_square")))).otherwise(0.999)
-    follows = last.withColumn("_r", r)
+    letters = value.rlike(LETTERS)
+    consonants = "".join(c for c in LOWER + UPPER if c not in VOWELS)
+    kinds = F.translate(value, UPPER + LOWER + DIGITS + "+/-_", "u" * 26 + "l" * 26 + "d" * 10)
+    classes = F.when(letters, F.translate(value, VOWELS + consonants, "v" * len(VOWELS) + "c" * len(consonants))).otherwise(kinds)
+    # A run of a class is what remains of it when neighbours of one class are merged; signs are left out.
+    places = F.greatest(F.length(classes).cast("double") - 1, F.lit(1.0))
+    changes = F.greatest(F.length(F.regexp_replace(classes, "(.)\\1+", "$1")).cast("double") - 1, F.lit(0.0))
+    angle = lambda share: F.asin(F.sqrt(share))
+    unlike = 2 * F.sqrt(places) * (angle(changes / places) - angle(F.col("_rate")))
+    changing = F.when(letters, _normal(unlike)).otherwise(_normal(-unlike))
+
+    def products(i: int) -> dict[str, Column]:
+        around = F.col(f"_centred_{i}")
+        cross = F.zip_with(F.slice(around, 1, F.size(around) - 1), F.slice(around, 2, F.size(around) - 1), lambda a, b: a * b)
+        return {f"_square_{i}": total(F.transform(around, lambda v: v * v)), f"_cross_{i}": total(cross)}
+
+    last = centred.withColumns({"_even": even, "_changing": changing} | products(0) | products(1))
+    correlated = [F.when(F.col(f"_square_{i}") > 0, F.col(f"_cross_{i}") / F.col(f"_square_{i}")).otherwise(0.999) for i in (0, 1)]
+    follows = last.withColumn("_r", F.greatest(F.lit(-0.999), F.least(F.lit(0.999), F.greatest(*correlated))))
     atanh = lambda x: F.log((1 + x) / (1 - x)) / 2
-    serial = 1 - _normal((atanh(F.lit(FOLLOWS)) - atanh(F.col("_r"))) * F.sqrt(n - 3))
-    return follows.withColumn("p", F.greatest("_even", "_changing", serial, F.lit(1e-12))).select(*rows.columns, "p")
+    serial = _normal((atanh(F.col("_r")) - atanh(F.lit(FOLLOWS))) * F.sqrt(n - 3))
+    random = F.when(F.col("_changing").isNull(), F.col("_even")).otherwise(_both(F.col("_even"), F.col("_changing")))
+    return follows.withColumn("p", F.greatest(random, serial, F.lit(1e-12))).select(*rows.columns, "p")
 
 
 def _limits(tested: DataFrame, rate: float) -> dict[int, int]:
