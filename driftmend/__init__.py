@@ -38,7 +38,7 @@ from driftmend.operators.three_way import keep_base, merge_three_way, three_way_
 from driftmend.plans.audit import audit, audit_metrics, reverse_check
 from driftmend.plans.facts import column_facts, with_affected
 from driftmend.plans.files import FileSync, run_file_sync
-from driftmend.plans.schema_sync import SchemaSync, run_schema_sync, sync_schema
+from driftmend.plans.schema_sync import SchemaSync, consequent_orphans, run_schema_sync, sync_schema
 from driftmend.plans.sync import run_sync
 from driftmend.sources.catalog import (
     Catalog,
@@ -70,6 +70,7 @@ __all__ = [
     "change_log",
     "column_facts",
     "conflicts",
+    "consequent_orphans",
     "copy_table",
     "differing_buckets",
     "differing_leaves",

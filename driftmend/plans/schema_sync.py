@@ -137,6 +137,17 @@ def sync_schema(target: Namespace, given: Namespace, mode: str = "insert_missing
     return SchemaSync(tuple(steps), {n: t.changes for n, t in tables.items()}, stacked([empty, *refused]), tables)
 
 
+def consequent_orphans(space: Namespace) -> DataFrame:
+    """The rows that have no parent, or lose it once such rows are gone, and so on to any depth: ``table``, ``key`` and each
+    ``reference`` it breaks.
+
+    Each round joins only what the round before found. Rows that hold each other up in a circle stay. Tables
+    without a key, and references to tables that are not there, are not looked at; ``orphan_rows`` tells the former's.
+    """
+    empty = Namespace(space.schema, {name: table.limit(0) for name, table in space.tables.items()}, space.contracts)
+    return sync_schema(space, empty).refused.drop("op").distinct()
+
+
 def run_schema_sync(target: Namespace, given: Namespace, out: str, mode: str = "insert_missing") -> SchemaSync:
     """Carry out :func:`sync_schema` into the new folder ``out``: per table ``state`` and the rows of each operation,
     in the order of its steps, and ``refused`` last."""

@@ -140,3 +140,12 @@ def test_references_must_point_at_a_key(spark):
     space = dm.Namespace("main", tables, contracts)
     with pytest.raises(ValueError, match="not its key"):
         dm.sync_schema(space, space)
+
+
+def test_orphans_in_consequence(spark):
+    """A chain of any length, a circle that holds itself up, and one that hangs on a row without a parent."""
+    contracts = [dm.TableContract("t", "id", [dm.Reference("up", "t", "id")])]
+    rows = [(1, 99), (2, 1), (3, 2), (4, 3), (10, None), (11, 10), (20, 21), (21, 20), (22, 21), (30, 30)]
+    space = dm.Namespace("main", {"t": spark.createDataFrame(rows, "id int, up int")}, contracts)
+    found = dm.consequent_orphans(space).collect()
+    assert sorted((r.table, int(r.key), r.reference) for r in found) == [("t", i, "up -> t") for i in (1, 2, 3, 4)]
