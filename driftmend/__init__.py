@@ -52,7 +52,7 @@ from driftmend.sources.catalog import (
 from driftmend.sources.contract import Namespace, Reference, TableContract
 from driftmend.sources.manifest import file_changes, read_state, register_files
 from driftmend.sources.readers import read_database, read_files, read_jdbc
-from driftmend.sources.sinks import copy_table, write_findings
+from driftmend.sources.sinks import copy_once, copy_runs, copy_table, read_copied, write_findings
 from driftmend.streaming.arrivals import late_rows, read_arrivals, rejected_rows, stream_sync, synced_state
 
 __all__ = [
@@ -71,6 +71,8 @@ __all__ = [
     "column_facts",
     "conflicts",
     "consequent_orphans",
+    "copy_once",
+    "copy_runs",
     "copy_table",
     "differing_buckets",
     "differing_leaves",
@@ -98,6 +100,7 @@ __all__ = [
     "read_arrivals",
     "read_branches",
     "read_database",
+    "read_copied",
     "read_files",
     "read_jdbc",
     "read_state",

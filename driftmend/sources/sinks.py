@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from driftmend.functions.names import col, cols
@@ -58,6 +59,41 @@ def copy_table(source: DataFrame, destination: str, format: str = "parquet", par
     (writer.partitionBy(*partition_by) if partition_by else writer).save(destination)
 
 
+def copy_once(source: DataFrame, destination: str, run_id: str) -> int:
+    """Add every row of ``source`` to ``destination`` under a run's id and return their number; a repeated run adds nothing.
+
+    Each run has a folder of its own, which it overwrites if it was lost before its end; what it wrote and when is told in
+    ``destination``_runs, last. The rows are counted while they are written. Read the table with :func:`read_copied`.
+    """
+    spark = source.sparkSession
+    told = f"{destination}_runs/run={quote(run_id, safe='')}"
+    try:
+        before = spark.read.schema("n_rows long, at timestamp").parquet(told).first()
+    except AnalysisException:  # the run is new, or was lost
+        before = None
+    if before is not None:
+        return before.n_rows
+    if "run" in (c.lower() for c in source.columns):
+        raise ValueError("the column name 'run' is used for the folders of runs; rename it first")
+    rows = Observation()
+    source.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{destination}/run={quote(run_id, safe='')}")
+    done = spark.range(1).select(F.lit(rows.get["n"]).cast("long").alias("n_rows"), F.current_timestamp().alias("at"))
+    done.coalesce(1).write.mode("overwrite").parquet(told)
+    return rows.get["n"]
+
+
+def read_copied(spark: SparkSession, destination: str) -> DataFrame:
+    """All rows that finished runs of :func:`copy_once` added, whatever a lost run has left."""
+    finished = [row.run for row in copy_runs(spark, destination).select("run").collect()]
+    rows = spark.read.option("basePath", destination).parquet(*[f"{destination}/run={quote(run, safe='')}" for run in finished])
+    return rows.drop("run")
+
+
+def copy_runs(spark: SparkSession, destination: str) -> DataFrame:
+    """``run``, ``n_rows`` and ``at`` of each finished run."""
+    return spark.read.schema("n_rows long, at timestamp, run string").parquet(f"{destination}_runs").select("run", "n_rows", "at")
+
+
 def copy_to_database(
     source: DataFrame, schema: str, table: str, connection: Mapping[str, str], tasks: int = 32
 ) -> None:

@@ -96,3 +96,15 @@ def test_untouched_files_are_not_read_whole(spark):
     run = dm.run_file_sync(target, manifest, ["k"], work_folder(spark, "sync"), "upsert")
     added = {r.change: r.n_rows for r in dm.file_changes(spark, manifest, run.manifest).collect()}
     assert added == {"kept": 50, "dropped": 50, "added": 50}
+
+
+def test_a_copy_run_twice_has_its_rows_once(spark):
+    folder = f"{work_folder(spark, 'copy')}/t"
+    one, two = spark.createDataFrame([(1, "a"), (2, None)], "k int, s string"), spark.createDataFrame([(1, "a")], "k int, s string")
+    assert [dm.copy_once(one, folder, "2024-01-01 10:00"), dm.copy_once(two, folder, "b/c"), dm.copy_once(two, folder, "2024-01-01 10:00")] == [2, 1, 2]
+    assert rows(dm.read_copied(spark, folder)) == bag([(1, "a"), (2, None), (1, "a")])
+    assert sorted((r.run, r.n_rows) for r in dm.copy_runs(spark, folder).collect()) == [("2024-01-01 10:00", 2), ("b/c", 1)]
+    # A run lost before its end left rows, which are not read and are replaced by its repetition.
+    one.write.parquet(f"{folder}/run=lost")
+    assert dm.read_copied(spark, folder).count() == 3
+    assert dm.copy_once(two, folder, "lost") == 1 and dm.read_copied(spark, folder).count() == 4
