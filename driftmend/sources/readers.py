@@ -82,21 +82,31 @@ PAGE_BYTES = 8192
 
 
 def pages_query(schema: str) -> str:
-    """Pages of each plain table of a schema, as a relation a JDBC read can take."""
+    """Pages of each table and materialised view of a schema, as a relation a JDBC read can take.
+
+    ``pages`` are all of them and ``longest`` those of its longest part: the table itself, or, as a partitioned table has
+    none of its own, a partition. They are what the files hold now, so a table that was never analysed has them too.
+    """
     name = schema.replace("'", "''")
+    leaves = "(SELECT {}(pg_relation_size(p.relid)) FROM pg_partition_tree(c.oid) p WHERE p.isleaf)"
+    sizes = [f"CASE WHEN c.relkind = 'p' THEN coalesce({leaves.format(f)}, 0) ELSE pg_relation_size(c.oid) END" for f in ("sum", "max")]
     return (
-        "(SELECT c.relname AS table_name, c.relpages AS pages FROM pg_catalog.pg_class c "
-        f"JOIN pg_catalog.pg_namespace n ON n.oid = c.relnamespace WHERE n.nspname = '{name}' AND c.relkind = 'r') AS pages"
+        f"(SELECT c.relname AS table_name, (({sizes[0]}) / {PAGE_BYTES})::bigint AS pages, (({sizes[1]}) / {PAGE_BYTES})::bigint AS longest "
+        "FROM pg_catalog.pg_class c JOIN pg_catalog.pg_namespace n ON n.oid = c.relnamespace "
+        f"WHERE n.nspname = '{name}' AND c.relkind IN ('r', 'p', 'm')) AS pages"
     )
 
 
-def page_predicates(pages: int, task_bytes: int) -> list[str]:
-    """Conditions that cut a table into runs of pages of about ``task_bytes``, whatever its key.
+def page_predicates(pages: int, task_bytes: int, longest: int | None = None) -> list[str]:
+    """Conditions that cut a table into tasks of about ``task_bytes`` by page numbers, whatever its key.
 
-    ``pages`` is what the database counted last; the last run is open, so rows added since are read as well.
+    Page numbers count in each partition by itself, so of a partitioned table a task has the same numbers of all
+    partitions; they reach to the ``longest`` one. The last run is open, so rows added since are read as well.
     """
-    step = max(1, task_bytes // PAGE_BYTES)
-    starts = list(range(0, max(1, pages), step))
+    longest = pages if longest is None else longest
+    tasks = max(1, -(-pages * PAGE_BYTES // task_bytes))
+    step = max(1, -(-longest // tasks))
+    starts = list(range(0, max(1, longest), step))
     ends = [*starts[1:], None]
     return [
         f"ctid >= '({low},0)'::tid" + (f" AND ctid < '({high},0)'::tid" if high is not None else "") for low, high in zip(starts, ends, strict=True)
@@ -159,7 +169,7 @@ def read_jdbc(
         counted = spark.read.format("jdbc").options(**dict(connection), dbtable=pages_query(schema)).load()
         for row in counted.toLocalIterator():
             if row["pages"] * PAGE_BYTES > task_bytes:
-                chosen[row["table_name"]] = page_predicates(row["pages"], task_bytes)
+                chosen[row["table_name"]] = page_predicates(row["pages"], task_bytes, row["longest"])
     else:
         chosen.update(splits_by_key(spark, connection, catalog, schema, partitions))
     chosen.update(splits or {})

@@ -105,8 +105,12 @@ def test_types_of_a_database_are_spelt_as_spark_spells_them(spark):
 def test_tables_are_split_by_pages_whatever_their_key():
     assert page_predicates(0, 1 << 27) == ["ctid >= '(0,0)'::tid"]
     assert page_predicates(40_000, 1 << 27) == [
-        "ctid >= '(0,0)'::tid AND ctid < '(16384,0)'::tid", "ctid >= '(16384,0)'::tid AND ctid < '(32768,0)'::tid", "ctid >= '(32768,0)'::tid",
+        "ctid >= '(0,0)'::tid AND ctid < '(13334,0)'::tid", "ctid >= '(13334,0)'::tid AND ctid < '(26668,0)'::tid", "ctid >= '(26668,0)'::tid",
     ]
+    # A partitioned table: the same page numbers of all partitions, as far as the longest has them.
+    assert len(page_predicates(40_000, 1 << 27, longest=300)) == 3 and page_predicates(40_000, 1 << 27, longest=300)[-1] == "ctid >= '(200,0)'::tid"
+    told = pages_query("public")
+    assert "relkind IN ('r', 'p', 'm')" in told and "pg_relation_size" in told and "relpages" not in told
     assert hash_predicates(["a", 'b"c'], 2)[1] == """mod(abs(hashtext(concat_ws('|', "a"::text, "b""c"::text))::bigint), 2) = 1"""
     assert "n.nspname = 'o''dd'" in pages_query("o'dd")
 
