@@ -14,7 +14,7 @@ How pairs are found without forming all pairs of a group:
    no other, and of the links found a class reports one to each component.
 
 So any two classes that share a band are compared unless they already are in one component, and what is written is
-links, not pairs. Sets travel as sorted hashes of 40 bits.
+links, not pairs. Sets travel as sorted hashes of 64 bits.
 """
 
 from __future__ import annotations
@@ -148,15 +148,11 @@ def signatures(docs: DataFrame, k: int, sketch: SetSketch) -> DataFrame:
 
 
 def _packed(shingles: np.ndarray) -> bytes:
-    """40 bits of each hash, sorted."""
-    short = np.sort(shingles >> np.uint64(24))
-    return np.ascontiguousarray(short.view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+    return np.ascontiguousarray(shingles).tobytes()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    return out.view(np.uint64).ravel()
+    return np.frombuffer(data, np.uint64)
 
 
 def _full(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
