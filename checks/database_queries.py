@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import driftmend as dm
 from checks.registry import query
 from checks.sql import GIVEN_ORDERS, ORDER_COLUMNS, ORDER_VALUES, diff, union_all
-from checks.tables import KEYS, REFERENCES, TABLES, Tables
+from checks.tables import KEYS, REFERENCES, Tables
 from driftmend.functions.frames import stacked
 from driftmend.functions.names import cols
 from driftmend.functions.types import family
