@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import driftmend as dm
 from checks.registry import query
 from checks.sql import GIVEN_ORDERS, ORDER_COLUMNS, ORDER_VALUES, diff, union_all
-from checks.tables import KEYS, REFERENCES, Tables
+from checks.tables import KEYS, REFERENCES, TABLES, Tables
 from driftmend.functions.frames import stacked
 from driftmend.functions.names import cols
 from driftmend.functions.types import family
@@ -136,3 +136,41 @@ def sync_quoted_names(t: Tables) -> DataFrame:
     """An upsert whose key is the column named in another case."""
     state = dm.sync(_odd(t.orders), _odd(t.given_orders()), ["ORDER.Key"], mode="upsert")
     return state.select(*cols(ODD_NAMES.values())).toDF(*"abcdef")
+
+
+# Columns of whole numbers and of text that references are looked for in.
+_SEARCHED = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_nationkey", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_nationkey"],
+    "part": ["p_partkey", "p_size"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_linestatus"],
+    "events": ["event_id", "user_id"],
+}
+_KINDS = {(name, c): kind for name in _SEARCHED for c, kind in TABLES[name]}
+_PLACES = [(name, c) for name, columns in _SEARCHED.items() for c in columns]
+_UNIQUE = "(SELECT count(*) = count(DISTINCT {c}) FROM {t})"
+
+
+@query(union_all([f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS n_rows FROM {t} HAVING count(*) = count(DISTINCT {c})" for t, c in _PLACES]))
+def key_columns(t: Tables) -> DataFrame:
+    return dm.key_columns(t.namespace(*_SEARCHED), _SEARCHED).toDF("table_name", "column_name", "n_rows")
+
+
+@query(
+    union_all(
+        [
+            f"SELECT '{a}' AS table_name, '{c}' AS column_name, '{b}' AS ref_table, '{d}' AS ref_column, count(DISTINCT {c}) AS n_values FROM {a} "
+            f"HAVING count({c}) > 0 AND {_UNIQUE.format(c=d, t=b)} AND NOT EXISTS (SELECT {c} FROM {a} WHERE {c} IS NOT NULL EXCEPT SELECT {d} FROM {b})"
+            for a, c in _PLACES
+            for b, d in _PLACES
+            if (a, c) != (b, d) and (_KINDS[a, c] == "string") == (_KINDS[b, d] == "string")
+        ]
+    )
+)
+def propose_references(t: Tables) -> DataFrame:
+    """Every reference between these columns that holds in the data, the declared ones among them."""
+    found = dm.propose_references(t.namespace(*_SEARCHED), _SEARCHED)
+    return found.toDF("table_name", "column_name", "ref_table", "ref_column", "n_values")

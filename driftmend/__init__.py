@@ -12,6 +12,7 @@ from driftmend.operators.digest_tree import (
     tree_diff,
     update_tree,
 )
+from driftmend.operators.discovery import key_columns, propose_references
 from driftmend.operators.keys import (
     key_presence,
     key_profile,
@@ -81,6 +82,7 @@ __all__ = [
     "file_changes",
     "incremental_sync",
     "keep_base",
+    "key_columns",
     "key_presence",
     "key_profile",
     "late_rows",
@@ -97,6 +99,7 @@ __all__ = [
     "orphan_keys",
     "orphan_rows",
     "primary_key_holds",
+    "propose_references",
     "read_arrivals",
     "read_branches",
     "read_database",

@@ -98,3 +98,16 @@ def test_scan_keys_reads_key_columns_only(spark, tmp_path):
     spark.createDataFrame(TARGET, SCHEMA).write.parquet(str(tmp_path / "t"))
     plan = dm.scan_keys(spark.read.parquet(str(tmp_path / "t")), ["K1"])._jdf.queryExecution().toString()
     assert "ReadSchema: struct<k1:string>" in plan
+
+
+def test_references_found_in_the_data(spark):
+    tables = {
+        "p": spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (3, "c", 1.0)], "id int, code string, x double"),
+        "c": spark.createDataFrame([(10, 1, "a", 7), (11, 1, None, 1), (12, 3, "b", None), (13, None, "a", 2)], "`c.id` long, p short, code string, other int"),
+        "e": spark.createDataFrame([], "id int"),
+    }
+    space = dm.Namespace("main", tables)
+    found = {tuple(r) for r in dm.propose_references(space).collect()}
+    assert found == {("c", "p", "p", "id", 2), ("c", "code", "p", "code", 2)}
+    assert {tuple(r) for r in dm.key_columns(space).collect()} == {("p", "id", 3), ("p", "code", 3), ("c", "c.id", 4)}
+    assert {tuple(r)[:4] for r in dm.propose_references(space, {"p": ["ID"], "c": ["p", "other"]}).collect()} == {("c", "p", "p", "id")}
