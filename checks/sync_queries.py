@@ -244,12 +244,13 @@ def stream_sync_files(t: Tables) -> DataFrame:
     folder = work_folder(t.spark, "deliveries")
     parts = [t.events.where(rule) for rule in _DELIVERIES]
     parts[1] = parts[1].unionByName(parts[0].where("event_id % 10 = 0")).unionByName(parts[1].where("event_id % 7 = 0"))
-    for i, part in enumerate(parts):
-        part.coalesce(1).write.parquet(f"{folder}/files/{i}")
     given = t.given_events()
-    arrivals = dm.read_arrivals(t.spark, f"{folder}/files/*", t.arrivals_schema(), max_files=1)
     options = {"progress": "ts", "delay": "3 days", "fixed_progress": True}
-    dm.stream_sync(arrivals, given, ["event_id"], f"{folder}/rows", f"{folder}/checkpoint", **options).awaitTermination()
+    for i, part in enumerate(parts):
+        # As many files as tasks wrote: the stream is started after each delivery, whose files are then one batch.
+        part.write.parquet(f"{folder}/files/{i}")
+        arrivals = dm.read_arrivals(t.spark, f"{folder}/files/*", t.arrivals_schema())
+        dm.stream_sync(arrivals, given, ["event_id"], f"{folder}/rows", f"{folder}/checkpoint", **options).awaitTermination()
     results = {"state": dm.synced_state(given, f"{folder}/rows"), "rejected": dm.rejected_rows(given, f"{folder}/rows"), "late": dm.late_rows(given, f"{folder}/rows")}
     return stacked([rows.select(F.lit(part).alias("part"), "event_id", "ts") for part, rows in results.items()])
 

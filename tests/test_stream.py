@@ -1,4 +1,5 @@
 import datetime
+import os
 
 import pytest
 
@@ -98,3 +99,31 @@ def test_the_stream_agrees_with_the_batch_sync(spark, tmp_path, given):
     streamed = run(spark, tmp_path, work_folder(spark, "stream"), given)
     everything = spark.read.schema(given.schema).parquet(f"{tmp_path}/*").distinct()
     assert streamed == bag(tuple(r) for r in dm.sync(everything, given, ["id"]).collect())
+
+
+def test_a_delivery_of_any_size_is_written_by_many_tasks(spark, tmp_path):
+    from checks.sync_queries import stream_sync_files
+    from checks.tables import Tables
+
+    days = [datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=6 * i) for i in range(120)]
+    rows = [(i, days[i % 120], i, "view", 1.0, "{}") for i in range(4000)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    for i in range(4):
+        spark.createDataFrame(rows[i::4], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    base, before = f"{spark.conf.get('spark.checkpoint.dir')}/driftmend", set()
+    if os.path.isdir(base):
+        before = set(os.listdir(base))
+    found = stream_sync_files(Tables(spark, str(tmp_path))).groupBy("part").count().collect()
+    (own,) = [name for name in os.listdir(base) if name.startswith("deliveries-") and name not in before]
+    for i in range(3):
+        files = [name for name in os.listdir(f"{base}/{own}/files/{i}") if name.endswith(".parquet")]
+        assert len(files) >= 4
+    # One batch for each delivery, and every row where it belongs.
+    assert {name for name in os.listdir(f"{base}/{own}/rows") if name.startswith("batch=")} == {f"batch={i}" for i in range(-1, 3)}
+    late = {i for i, ts, *_ in rows if i % 3 == 1 and ts < at(5)}
+    first = {i for i, ts, *_ in rows if ts < at(15)} - late
+    second = {i for i, ts, *_ in rows if ts >= at(15)}
+    given = {i for i, ts, *_ in rows if ts < at(20) and i % 50}
+    again = {i for i in first if i % 10 == 0}, {i for i in second if i % 7 == 0}
+    expected = {"state": len(rows), "rejected": sum(len(x - given) for x in again), "late": len(late - given)}
+    assert {r["part"]: r["count"] for r in found} == expected
