@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftmend.llm.texts import LOWER, Words, byte_class, pieces, words_of
+from driftmend.llm.texts import LOWER, Places, Words, byte_class, pieces, words_of
 
 LETTERS = byte_class((0x61, 0x7A), (0x80, 0xFF))
 #: Longer runs are read in parts of so many bytes.
@@ -179,7 +179,7 @@ class Memory:
     def __init__(self, languages: int):
         self.size = max(1000, min(200_000, 4_000_000 // languages))
         self.sums = np.zeros((self.size, languages), np.float32)
-        self.at: dict[int, int] = {}
+        self.at = Places(self.size)
 
     @classmethod
     def of(cls, name: str, languages: int) -> Memory:
@@ -189,9 +189,8 @@ class Memory:
         return cls.known[name]
 
     def sums_of(self, network: Network, words: Words, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Sums for the distinct runs that begin at the words ``first`` with ``hashes``."""
-        get = self.at.get
-        place = np.fromiter((get(h, -1) for h in hashes.tolist()), np.int64, len(hashes))
+        """Sums for the distinct runs that begin at the words ``first`` with ``hashes``, which ascend."""
+        place = self.at.of(hashes)
         fresh = np.flatnonzero(place < 0)
         found = self.sums[np.maximum(place, 0)]
         sizes = (words.ends - words.starts)[first[fresh]]
@@ -204,9 +203,8 @@ class Memory:
         if len(self.at) + len(fresh) > self.size:
             self.at.clear()
         keep = fresh[: self.size - len(self.at)]
-        at = len(self.at) + np.arange(len(keep))
-        self.sums[at] = found[keep]
-        self.at.update(zip(hashes[keep].tolist(), at.tolist(), strict=True))
+        self.sums[len(self.at) : len(self.at) + len(keep)] = found[keep]
+        self.at.add(hashes[keep])
         return found
 
 

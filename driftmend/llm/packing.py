@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from driftmend.llm.texts import LOWER, NOT_BLANK, Words, pieces, words_of
+from driftmend.llm.texts import LOWER, NOT_BLANK, Places, Words, pieces, words_of
 from driftmend.sources.sinks import staged
 
 # What a tokenizer file must say for its words to be tokenized one by one (fixed values of a public format).
@@ -67,8 +67,9 @@ class WordTokens:
             and all("<|" in t["content"] for t in spec["added_tokens"])
         )
         self.letters = _byte_letters()
-        self.memory: dict[bytes, bytes] = {}
-        self.runs: dict[bytes, bytes] = {}
+        # Ids of remembered units one after the other, and where those of each end.
+        self.at = Places(self.KEPT)
+        self.flat, self.ends = np.zeros(0, "<u4"), np.zeros(1, np.int64)
 
     @classmethod
     def of(cls, path: str) -> WordTokens:
@@ -79,24 +80,33 @@ class WordTokens:
     def text(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _keep(self, memory: dict[bytes, bytes], key: bytes, ids: bytes) -> bytes:
-        if len(memory) >= self.KEPT:
-            memory.clear()
-        memory[key] = ids
-        return ids
-
     def run(self, run: bytes) -> bytes:
         """Ids of lower-case letters, of one digit or of signs, which the file never splits before its merges."""
-        found = self.runs.get(run)
-        if found is None:
-            letters = run.decode("latin-1").translate(self.letters)
-            found = self._keep(self.runs, run, np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes())
-        return found
+        letters = run.decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+
+    def units(self, units: Words, odd: np.ndarray, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where those of each distinct unit begin, their number) of the units ``first``, whose ``hashes`` ascend.
 
-    def word(self, word: bytes) -> bytes:
-        """Ids of a word with characters that the file treats in a way of its own."""
-        found = self.memory.get(word)
-        return self._keep(self.memory, word, self.text(word.decode("utf-8"))) if found is None else found
+        ``odd`` units have characters that the file treats in a way of its own.
+        """
+        place = self.at.of(hashes)
+        fresh = np.flatnonzero(place < 0)
+        own = units.data.tobytes()
+        new = zip(units.starts[first[fresh]].tolist(), units.ends[first[fresh]].tolist(), odd[first[fresh]].tolist(), strict=True)
+        each = [self.text(own[a:b].decode("utf-8")) if o else self.run(own[a:b]) for a, b, o in new]
+        sizes = np.array([len(e) // 4 for e in each], np.int64)
+        flat = np.concatenate((self.flat, np.frombuffer(b"".join(each), "<u4")))
+        ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(sizes)))
+        place[fresh] = len(self.at) + np.arange(len(fresh))
+        begins, length = ends[place], ends[place + 1] - ends[place]
+        if len(self.at) + len(fresh) > self.KEPT or len(flat) > 8 * self.KEPT:
+            self.at.clear()
+            self.flat, self.ends = flat[:0].copy(), ends[:1].copy()
+        else:
+            self.at.add(hashes[fresh])
+            self.flat, self.ends = flat, ends
+        return flat, begins, length
 
     def rows(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
         """The ids of each text of a piece."""
@@ -105,13 +115,8 @@ class WordTokens:
                 yield np.frombuffer(self.text(data[a:b].tobytes().decode("utf-8")), "<u4")
             return
         units, odd = _units(data, offsets)
-        _, first, back = np.unique(units.hashes(), return_index=True, return_inverse=True)
-        own = units.data.tobytes()
-        known = zip(units.starts[first].tolist(), units.ends[first].tolist(), odd[first].tolist(), strict=True)
-        each = [self.word(own[a:b]) if o else self.run(own[a:b]) for a, b, o in known]
-        sizes = np.array([len(e) // 4 for e in each], np.int64)
-        flat = np.frombuffer(b"".join(each), "<u4")
-        begins = np.cumsum(sizes) - sizes
+        hashes, first, back = np.unique(units.hashes(), return_index=True, return_inverse=True)
+        flat, begins, sizes = self.units(units, odd, hashes, first)
         length = sizes[back]
         upto = np.concatenate(([0], np.cumsum(length)))
         ids = flat[np.repeat(begins[back] - upto[:-1], length) + np.arange(upto[-1])]
@@ -305,7 +310,9 @@ def packed(pieces_of: DataFrame, capacity: int = 2048) -> DataFrame:
     rows = staged(pieces_of.withColumn("_draw", F.xxhash64(F.monotonically_increasing_id())), "pieces")
     histogram = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}
     # As many rows as the plan has lengths, which the capacity bounds.
-    slots = spark.createDataFrame(_slots(plan(histogram, capacity)), "_length long, _low long, _high long, _sequence long, _offset long")
+    columns = np.array(_slots(plan(histogram, capacity)), np.int64).reshape(-1, 5).T
+    # From Arrow, so that no further Python workers start for a list of rows.
+    slots = spark.createDataFrame(pa.Table.from_arrays([pa.array(c) for c in columns], names=["_length", "_low", "_high", "_sequence", "_offset"]))
     groups = np.ones(capacity + 1, np.int64)
     for length, n in histogram.items():
         groups[length] = -(-n // GROUP)

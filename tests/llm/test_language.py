@@ -1,4 +1,5 @@
 import os
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -91,3 +92,31 @@ def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.001"
     found = QUERIES["op7_language"](spark, folder).join(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id").where("held_out AND lang IS NOT NULL")
     assert found.agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("int"))).first()[0] > 0.95
+
+
+def test_remembered_runs_take_few_bytes():
+    from driftmend.llm.language import Memory
+    from driftmend.llm.texts import Words
+
+    class Plain:
+        languages = ["a", "b"]
+
+        def label(self, symbols):
+            return np.stack([symbols.T / 256, 1 - symbols.T / 256], axis=2)
+
+    draw = np.random.default_rng(1)
+    tracemalloc.start()
+    memory = Memory(2)
+    before = tracemalloc.get_traced_memory()[0]
+    for _ in range(4):
+        data = draw.integers(97, 123, 150_000).astype(np.uint8)
+        starts = np.arange(0, 150_000, 10)
+        words = Words(data, starts, starts + 10, np.array([0, 15_000]))
+        hashes, first = np.unique(words.hashes(), return_index=True)
+        for _ in range(2):  # found anew, then remembered
+            found = memory.sums_of(Plain(), words, hashes, first)
+            assert np.allclose(found[:, 0], (data.reshape(-1, 10).sum(axis=1) / 256)[first], atol=1e-4)
+    del words, hashes, first, found, data, starts
+    kept = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert len(memory.at) == 60_000 and kept < 50 * 60_000

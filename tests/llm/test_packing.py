@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -104,3 +105,36 @@ def test_other_tokenizers_get_whole_texts():
 
 def test_empty_table(spark, documents):
     assert pack_documents(documents([]), PATH).collect() == []
+
+
+def test_remembered_units_take_few_bytes_and_stay_right(monkeypatch):
+    tokens = WordTokens(PATH)
+    draw = random.Random(4)
+    texts = [" ".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(6000)) + " d'été 42" for _ in range(6)]
+
+    def ids(own):
+        data = np.frombuffer("".join(own).encode(), np.uint8)
+        return list(tokens.rows(data, np.cumsum([0, *(len(t.encode()) for t in own)])))
+
+    ids(["warm up"])
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    for text in texts:
+        ids([text])
+    kept = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert kept < 100 * 36_000
+    for size in (WordTokens.KEPT, 5000):  # with the smaller number everything is forgotten again and again
+        monkeypatch.setattr(WordTokens, "KEPT", size)
+        for found, text in zip(ids(texts[:2]), texts[:2], strict=True):
+            assert found.tolist() == ids_of(text)[:-1]
+
+
+def test_the_plan_reaches_spark_without_python_rows(spark, documents, monkeypatch):
+    def refuse(*_, **__):
+        raise AssertionError("a list of rows starts Python workers of its own")
+
+    docs = documents([(1, "a b"), (2, None)])
+    monkeypatch.setattr(spark.sparkContext, "parallelize", refuse)
+    assert pack_documents(docs, PATH).count() == 2
+    assert pack_documents(docs.where("doc_id = 5"), PATH).count() == 0
