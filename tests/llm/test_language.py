@@ -105,6 +105,8 @@ def test_remembered_runs_take_few_bytes():
             return np.stack([symbols.T / 256, 1 - symbols.T / 256], axis=2)
 
     draw = np.random.default_rng(1)
+    one = np.zeros(1, np.int64)
+    Words(np.zeros(150_000, np.uint8), one, one + 1, np.array([0, 1])).hashes()  # its tables are not the memory's
     tracemalloc.start()
     memory = Memory(2)
     before = tracemalloc.get_traced_memory()[0]
